@@ -70,12 +70,12 @@ def jackpot_model(
         "inserted_at",
         "updated_at",
     ]
-    grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    rest = (F.col("wallet_amount") - (F.col("amount_precision") * F.col("_rows").cast("decimal(10,0)")).cast(EXACT)).cast(EXACT)
+    grouped = rows.groupBy(*keys).agg(exact_sum("amount_precision").alias("_jackpot"))
+    rest = (F.col("wallet_amount") - F.col("_jackpot")).cast(EXACT)
     small = (rest < F.lit(ROUNDING_FLOOR)) & (rest > F.lit(-ROUNDING_FLOOR))
     return grouped.withColumns(
         {"casino_payout_normal": F.when(small, F.lit(0).cast(EXACT)).otherwise(rest), "casino_payout_precise": rest}
-    ).drop("_rows")
+    ).drop("_jackpot")
 
 
 def of_type(jackpots: DataFrame, kind: str, *, free: bool | None = None) -> DataFrame:

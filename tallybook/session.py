@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallybook")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SETTINGS, **extra}.items():

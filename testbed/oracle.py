@@ -235,7 +235,7 @@ def _model(wallet: str, links: str, names: str, head: str, tail: str = "") -> st
         FROM (SELECT {head}, wallet_transaction_id, type, game_provider, game_provider_game_round_id,
                 game_provider_transaction_id, parent_wallet_transaction_id, remote_wallet_transaction_id, game_session_id,
                 free_round_award_id, jackpot_id, display_name, amount_precision, wallet_amount, inserted_at, updated_at,
-                {exact("wallet_amount - sum(amount_precision)")} AS rest
+                {exact("max(wallet_amount) - sum(amount_precision)")} AS rest
               FROM (SELECT j.wallet_transaction_id, j.type, t.* EXCLUDE (id, _changed_at, updated_at, amount, identity_user_id),
                       t.identity_user_id AS patron_id, j._changed_at, jp.id AS jackpot_id, jp.display_name,
                       j.inserted_at, j.updated_at,
