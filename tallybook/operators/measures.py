@@ -33,18 +33,20 @@ def union_measures(
     shaped = []
     for frame, given in sources:
         columns = [
-            (F.col(given[m]) if isinstance(given[m], str) else given[m]).cast(kind).alias(m)
-            if m in given
-            else F.lit(None).cast(kind).alias(m)
-            for m, kind in measures.items()
+            (F.col(value) if isinstance(value, str) else value).cast(measures[name]).alias(name)
+            for name, value in given.items()
         ]
         shaped.append(frame.select(*grain, *columns))
-    return reduce(DataFrame.unionByName, shaped)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shaped)
+    return stacked.selectExpr(
+        *[f"`{g}`" for g in grain],
+        *[f"`{m}`" if m in stacked.columns else f"CAST(NULL AS {kind}) AS `{m}`" for m, kind in measures.items()],
+    )
 
 
 def total_measures(df: DataFrame, grain: Sequence[str], scale: Mapping[str, str]) -> DataFrame:
     """Sum measures per grain and cast each to its own type after summing."""
-    sums = [F.coalesce(F.sum(m), F.lit(0)).cast(kind).alias(m) for m, kind in scale.items()]
+    sums = [F.expr(f"CAST(coalesce(sum(`{m}`), 0) AS {kind}) AS `{m}`") for m, kind in scale.items()]
     return df.groupBy(*grain).agg(*sums)
 
 

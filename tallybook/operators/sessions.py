@@ -86,9 +86,23 @@ def wager_counts(sources: Sequence[tuple[DataFrame, str, str | Column, int]]) ->
     ).drop("_source")
 
 
-def bucketed() -> dict[str, Column]:
+def signed_wagers(ref: str, sign: int, category: Column | None = None) -> dict[str, Column]:
+    """Count and bucketed amount of a source whose ids are already unique, for a measure stack.
+
+    Counting the rows then equals counting distinct ids, so the source needs no pass of its own.
+    Without a category the source is betting.
+    """
+    counted = F.when(F.col(ref).isNotNull(), F.lit(sign))
+    amount = F.lit(sign) * F.col("cents")
+    if category is None:
+        return {"num_wagers": counted, "wagers_betting": amount}
+    return {"num_wagers": counted, **bucketed(category, amount)}
+
+
+def bucketed(category: Column | None = None, amount: Column | None = None) -> dict[str, Column]:
     """Amounts split over the five category buckets; a missing category lands in none."""
-    category, amount = F.col("category"), F.col("cents")
+    category = F.col("category") if category is None else category
+    amount = F.col("cents") if amount is None else amount
     named = [c for group in CATEGORY_BUCKETS.values() for c in group]
     split = {f"wagers_{k}": F.when(category.isin(*v), amount) for k, v in CATEGORY_BUCKETS.items()}
     split["wagers_other"] = F.when(~category.isin(*named), amount)

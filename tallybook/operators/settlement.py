@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.periods import ReportWindow, bucket, in_window, to_local
+from tallybook.functions.periods import ReportWindow, in_window, to_local
 from tallybook.operators.ledger import (
     CUSTOMER_LIABILITY,
     SPORTS_HOUSE_WINS,
@@ -85,37 +85,35 @@ def promo_id() -> Column:
     return F.coalesce(F.col("promo_engine_free_bet_id"), F.col("free_bet_id"))
 
 
-def _fits(rule: Rule) -> Column:
-    tests: list[Column] = []
-    if rule.state:
-        tests.append(F.col("state").isin(*rule.state))
-    if rule.not_state:
-        tests.append(~F.col("state").isin(*rule.not_state))
-    if rule.previous:
-        tests.append(F.col("previous_state").isin(*rule.previous))
-    if rule.not_previous:
-        tests.append(~F.col("previous_state").isin(*rule.not_previous))
+def _fits(rule: Rule) -> str:
+    """The rule's tests as a SQL condition."""
+    tests: list[str] = []
+    for column, wanted, negated in (
+        ("state", rule.state, ""),
+        ("state", rule.not_state, "NOT "),
+        ("previous_state", rule.previous, ""),
+        ("previous_state", rule.not_previous, "NOT "),
+        ("account", rule.accounts, ""),
+    ):
+        if wanted:
+            listed = ", ".join(f"'{w}'" for w in wanted)
+            tests.append(f"{column} {negated}IN ({listed})")
     if rule.promo is not None:
-        promo = F.col("promo_id")
-        tests.append(promo.isNotNull() if rule.promo else promo.isNull())
-    if rule.accounts:
-        tests.append(F.col("account").isin(*rule.accounts))
+        tests.append(f"promo_id IS {'NOT ' if rule.promo else ''}NULL")
     if rule.same_day is not None:
-        now, before = bucket("new_timestamp", "day"), bucket("new_previous_timestamp", "day")
-        tests.append(now == before if rule.same_day else now != before)
-    return reduce(lambda a, b: a & b, tests)
+        sign = "=" if rule.same_day else "<>"
+        tests.append(f"CAST(new_timestamp AS DATE) {sign} CAST(new_previous_timestamp AS DATE)")
+    return " AND ".join(tests)
 
 
 def resettlement_amount(rules: Sequence[Rule] = RULES) -> Column:
     """Cents booked for a group holding ``debits`` and ``credits`` sums; 0 where nothing fits."""
-    debits, credits = F.col("debits"), F.col("credits")
-    amounts = {"nothing": F.lit(0), "credits": credits, "debits": debits, "net": debits - credits}
-    chain = None
+    amounts = {"nothing": "0", "credits": "credits", "debits": "debits", "net": "(debits - credits)"}
+    branches = []
     for rule in rules:
-        value = amounts[rule.amount.lstrip("-")]
-        value = -value if rule.amount.startswith("-") else value
-        chain = F.when(_fits(rule), value) if chain is None else chain.when(_fits(rule), value)
-    return F.coalesce(chain, F.lit(0)).cast("bigint")
+        sign = "-" if rule.amount.startswith("-") else ""
+        branches.append(f"WHEN {_fits(rule)} THEN {sign}{amounts[rule.amount.lstrip('-')]}")
+    return F.expr(f"CAST(coalesce(CASE {' '.join(branches)} END, 0) AS BIGINT)")
 
 
 def resettlement(

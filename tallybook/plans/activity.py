@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.labels import age_years, gender_code, postal_prefix
 from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_dollars
 from tallybook.functions.periods import ReportWindow, bucket, in_window, moment, to_local
+from tallybook.lineage import compute_once
 from tallybook.operators import balances, casino, jackpots, sessions
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.ledger import (
@@ -101,7 +102,7 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
         free_round_payouts=casino.free_round_payouts(
             tables.casino_payouts, tables.patron_transactions, window, tz=tz
         ),
-        model=jackpots_from_history(tables, window.end_utc),
+        model=compute_once(jackpots_from_history(tables, window.end_utc)),
     )
 
 
@@ -152,7 +153,7 @@ def player_measures(
     casino_wagers = casino.with_game(
         matched.where(flow_is("casino")), tables.wager_and_game_info, ["game_category"]
     ).withColumnRenamed("game_category", "category")
-    released = balances.bonus_released(tables.accounting, tz=tz)
+    released = compute_once(balances.bonus_released(tables.accounting, tz=tz))
     opening, closing = balances.opening_and_closing(
         tables.accounting, users_at_start, tables.users, window, state=ONTARIO
     )
@@ -177,20 +178,8 @@ def player_measures(
         "casino_session_id",
         window,
     )
-    betting = F.lit(sessions.BETTING)
     promo, cash = F.col("is_promo"), ~F.col("is_promo")
-    counts = sessions.wager_counts(
-        [
-            (casino_wagers, "ref_id", "category", 1),
-            (f.rollbacks.where(cash), "ref_id", "category", -1),
-            (f.free_rounds, "ref_id", "category", 1),
-            (f.rollbacks.where(promo), "ref_id", "category", -1),
-            (f.cash_bets, "bet_id", betting, 1),
-            (f.voided.where(cash), "bet_id", betting, -1),
-            (f.free_bets, "bet_id", betting, 1),
-            (f.voided.where(promo), "bet_id", betting, -1),
-        ]
-    )
+    category = F.col("category")
 
     def dated(frame: DataFrame) -> DataFrame:
         return frame.where(window.holds_local("ts")).withColumn("gaming_day", bucket("ts", "day"))
@@ -237,16 +226,29 @@ def player_measures(
             (at_start(closing), {"end_balance": cents}),
             (at_start(bonus_open), {"promo_start_balance": cents}),
             (at_start(bonus_moves), {"promo_adjustments": cents}),
-            (dated(f.free_bets), {"promo_player_wagers": cents}),
-            (dated(f.voided.where(promo)), {"promo_player_wagers": -cents}),
-            (dated(f.free_rounds), {"promo_player_wagers": cents}),
-            (dated(f.rollbacks.where(promo)), {"promo_player_wagers": -cents}),
+            (dated(f.cash_bets), sessions.signed_wagers("bet_id", 1)),
+            (dated(f.free_bets), {"promo_player_wagers": cents, **sessions.signed_wagers("bet_id", 1)}),
+            (
+                dated(f.voided),
+                {"promo_player_wagers": F.when(promo, -cents), **sessions.signed_wagers("bet_id", -1)},
+            ),
+            (dated(casino_wagers), sessions.signed_wagers("ref_id", 1, category)),
+            (
+                dated(f.free_rounds),
+                {"promo_player_wagers": cents, **sessions.signed_wagers("ref_id", 1, category)},
+            ),
+            (
+                dated(f.rollbacks),
+                {
+                    "promo_player_wagers": F.when(promo, -cents),
+                    **sessions.signed_wagers("ref_id", -1, category),
+                },
+            ),
             (at_start(bonus_close), {"promo_end_balance": cents}),
             (
                 at_start(played),
                 {"num_game_sessions": "num_game_sessions", "total_gameplay_duration": "total_gameplay_duration"},
             ),
-            (dated(counts), {"num_wagers": "num_wagers", **sessions.bucketed()}),
         ],
         ["gaming_day", "patron_id"],
         PLAYER_MEASURES,

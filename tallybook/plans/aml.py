@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.labels import is_non_earning
 from tallybook.functions.money import dollars
 from tallybook.functions.periods import ReportWindow, bucket, in_window, to_local
+from tallybook.lineage import compute_once
 from tallybook.operators import alerts, revenue
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.ledger import (
@@ -70,13 +71,15 @@ def high_value_deposits(
     matched and wire withdrawals.
     """
     tz = window.tz
-    report = alerts.threshold_alerts(
-        alerts.deposit_transactions(tables.accounting, tables.users, tz=tz),
-        [PERIOD, "username", "patron_id"],
-        single=single,
-        aggregate=aggregate,
+    report = compute_once(
+        alerts.threshold_alerts(
+            alerts.deposit_transactions(tables.accounting, tables.users, tz=tz),
+            [PERIOD, "username", "patron_id"],
+            single=single,
+            aggregate=aggregate,
+        )
     )
-    # alerts of any month repeat the amounts joined to them, so the counts come before the cut
+    # the driver cuts every later frame, so it is found once; alerts of any month repeat the amounts joined to them, so the counts come before the cut
     players = alerts.driver_counts(report)
     report = report.where(window.holds_local(PERIOD))
     ledger = tables.accounting
@@ -194,7 +197,8 @@ def non_earning_occupation(
     """
     tz = window.tz
     ledger = tables.accounting
-    report = alerts.monthly_depositors(ledger, tables.users, window, DRIVER_ATTRS, floor=floor)
+    # the driver cuts every later frame, so it is found once
+    report = compute_once(alerts.monthly_depositors(ledger, tables.users, window, DRIVER_ATTRS, floor=floor))
     players = alerts.driver_counts(report)
     mine = ledger.join(players.select(F.col("patron_id").alias("a_patron_id")), "a_patron_id", "left_semi")
     period = in_window(mine, "t_changed_at", window)

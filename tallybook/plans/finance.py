@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.money import DOLLARS, EXACT, dollars
 from tallybook.functions.periods import ReportWindow, bucket, in_window, to_local
+from tallybook.lineage import compute_once
 from tallybook.operators import bets as bet_ops
 from tallybook.operators import casino, jackpots, regulator, revenue
 from tallybook.operators.ledger import (
@@ -66,7 +67,7 @@ def results_detail_with_jackpots(tables: Catalog, window: ReportWindow) -> DataF
     """Results detail with jackpot contributions and wins."""
     tz = window.tz
     ledger = in_window(tables.accounting, "t_changed_at", window)
-    model = jackpots_from_history(tables, window.end_utc)
+    model = compute_once(jackpots_from_history(tables, window.end_utc))
 
     free = free_bet_ids(tables.accounting)
     sports = revenue.sports_stack(
@@ -242,7 +243,7 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
         [to_local("posted_at", tz).alias("ts")],
     )
 
-    model = jackpots_from_history(tables, window.end_utc)
+    model = compute_once(jackpots_from_history(tables, window.end_utc))
     named = tables.wager_and_game_info.select(F.col("patron_transaction_id").alias("ref_id"), "game_name")
     contributed = wagers.join(jackpots.of_type(model, "contribution"), "ref_id").join(named, "ref_id", "left")
     won = payouts.join(jackpots.of_type(model, "win", free=False), "ref_id").join(named, "ref_id", "left")
@@ -342,7 +343,7 @@ def casino_ggr(tables: Catalog, window: ReportWindow, used: DataFrame, *, days:
     )
     undone = undone.join(on_game, "ref_id").join(catalogue, "game_id")
 
-    model = jackpots_from_history(tables, window.end_utc)
+    model = compute_once(jackpots_from_history(tables, window.end_utc))
 
     def in_local_day(frame: DataFrame) -> DataFrame:
         return frame.withColumn("gaming_day", bucket(to_local("_changed_at", tz), "day"))

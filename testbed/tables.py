@@ -12,6 +12,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.lineage import shared_folder
 from tallybook.sources.catalog import Catalog
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -428,6 +429,9 @@ DERIVED: dict[str, str] = {
     """,
 }
 
+# tables many queries read are written once per session and read back as a stored table would be
+STORED = ("accounting", "casino_tx", "wager_and_game_info")
+
 _REF = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
 
 
@@ -440,21 +444,37 @@ def _dialect(sql: str, ntz: str, each: str) -> str:
     return re.sub(r"@each\((\d)\)", lambda m: each.format(", ".join(map(str, range(1, int(m[1]) + 1)))), sql)
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def _store(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> DataFrame:
+    application = spark.sparkContext.applicationId
+    key = (application, sf_dir, name)
+    if key not in _stored:
+        folder = shared_folder(spark)
+        if folder is None:
+            return frame
+        place = f"{folder}/tables-{application}/{re.sub(r'[^A-Za-z0-9.]', '_', sf_dir)}/{name}"
+        frame.write.mode("overwrite").parquet(place)
+        _stored[key] = place
+    return spark.read.parquet(_stored[key])
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The domain tables over one directory of test tables."""
-    opened: dict[str, DataFrame] = {}
 
     def open_table(name: str) -> DataFrame:
-        if name not in opened:
-            if name in RAW:
-                opened[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            else:
-                needed = {n: open_table(n) for n in _needs(name)}
-                sql = _dialect(DERIVED[name], "TIMESTAMP_NTZ", "explode(array({0}))")
-                opened[name] = spark.sql(sql, **needed)
-        return opened[name]
+        if name in RAW:
+            return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if (spark.sparkContext.applicationId, sf_dir, name) in _stored:
+            return _store(spark, sf_dir, name, None)
+        needed = {n: getattr(tables, n) for n in _needs(name)}
+        sql = _dialect(DERIVED[name], "TIMESTAMP_NTZ", "explode(array({0}))")
+        frame = spark.sql(sql, **needed)
+        return _store(spark, sf_dir, name, frame) if name in STORED else frame
 
-    return Catalog(open_table)
+    tables = Catalog(open_table)
+    return tables
 
 
 @lru_cache(maxsize=None)
