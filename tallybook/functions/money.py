@@ -12,13 +12,16 @@ DOLLARS = "decimal(38,2)"
 EXACT = "decimal(30,9)"
 
 
+ONE_CENT = Decimal("0.01")
+
+
 def _c(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
 def dollars(cents: Column | str) -> Column:
-    """Cents to dollars, exact."""
-    return (_c(cents).cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast(DOLLARS)
+    """Cents to dollars, exact; multiplying is several times cheaper than dividing."""
+    return (_c(cents).cast("decimal(20,0)") * F.lit(ONE_CENT)).cast(DOLLARS)
 
 
 def exact_dollars(cents: Column | str) -> Column:

@@ -108,7 +108,9 @@ def bucket(ts: Column | str, unit: str) -> Column:
     if unit == "month":
         return F.trunc(c.cast("date"), "month").cast(NTZ)
     if unit == "second":
-        return c - F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), c) % 1)
+        # the fraction of a second is the same in every zone, so the detour through one is safe
+        fraction = F.unix_micros(c.cast("timestamp")) % 1_000_000
+        return F.timestamp_add("MICROSECOND", (-F.pmod(fraction, F.lit(1_000_000))).cast("int"), c)
     raise ValueError(f"unknown bucket {unit!r}")
 
 

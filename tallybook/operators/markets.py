@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------------------------
+EVENT_FIELDS = "name string, start_time string, sport string, competition string"
 PARLAY_TYPES = ("parlay", "parlay_plus")
 MARKET_CLASSES = {
     "main": "Straight Wager",
@@ -42,17 +43,18 @@ def bet_and_market_info(bets: DataFrame, legs: DataFrame) -> DataFrame:
         "vegas_bet_id", "market", "market_classification", "event", "market_selection_name", "num_legs", "num_live_legs"
     )
     singles = bets.where(F.col("type") == "straight").select("id")
-    event = F.col("event")
+    # the event is parsed once for its four fields; two of them are JSON texts themselves
     straights = (
         singles.join(leg_cols, F.col("id") == F.col("vegas_bet_id"), "left")
+        .withColumn("_event", F.from_json(_unescaped(F.col("event")), EVENT_FIELDS))
         .select(
             F.col("vegas_bet_id").alias("bet_id"),
             _field(F.col("market"), "name").alias("market_type"),
             _market_class(F.col("market_classification")).alias("bet_type"),
-            F.upper(_field(_field(event, "competition"), "name")).alias("league"),
-            F.initcap(_field(_field(event, "sport"), "name")).alias("event_type"),
-            _field(event, "name").alias("event_description"),
-            _field(event, "start_time").try_cast("timestamp_ntz").alias("event_timestamp"),
+            F.upper(_field(F.col("_event.competition"), "name")).alias("league"),
+            F.initcap(_field(F.col("_event.sport"), "name")).alias("event_type"),
+            F.col("_event.name").alias("event_description"),
+            F.col("_event.start_time").try_cast("timestamp_ntz").alias("event_timestamp"),
             F.col("market_selection_name").alias("selection"),
             "num_legs",
             "num_live_legs",

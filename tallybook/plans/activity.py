@@ -106,6 +106,10 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
     )
 
 
+# --- fixed values -----------------------------------------------------------------------------
+NEVER_ACTIVE = "00000000"
+# ----------------------------------------------------------------------------------------------
+
 CENTS = "bigint"
 PLAYER_MEASURES = {
     "start_balance": CENTS,
@@ -270,33 +274,52 @@ def player_activity(
     """
     tz = window.tz
     measures = player_measures(tables, window, users_at_start, bonus_at_start)
+    stamp = "yyyyMMdd"
+    # labels are worked out once per player, before they meet the daily rows
     people = tables.users.where(F.col("is_tester") == F.lit(False)).select(
-        "patron_id", "birthdate", "gender", "registration_completed_at"
+        "patron_id",
+        age_years("birthdate", F.lit(run_at.date())).alias("Age"),
+        gender_code("gender").alias("Gender"),
+        F.date_format(to_local("registration_completed_at", tz), stamp).alias("RegistrationDate"),
+    )
+    homes = tables.addresses.select(F.col("user_id").alias("patron_id"), postal_prefix("postal_code").alias("FSA"))
+    active = balances.last_activity(tables.accounting, window, state=ONTARIO).select(
+        "patron_id", F.date_format(to_local("last_active_at", tz), stamp).alias("LastActiveDate")
     )
-    homes = tables.addresses.select(F.col("user_id").alias("patron_id"), "postal_code")
-    active = balances.last_activity(tables.accounting, window, state=ONTARIO)
     rows = measures.join(people, "patron_id").join(homes, "patron_id", "left").join(active, "patron_id", "left")
     rows = status_flags(rows, tables.break_status, "BreakStart", "BreakEnd", "BreakStatus")
     rows = status_flags(rows, tables.self_exclusion_status, "SEStart", "SEEnd", "SEStatus")
 
+    labels = ["Age", "Gender", "FSA", "RegistrationDate", "LastActiveDate"]
+    status = ["BreakStatus", "BreakStart", "BreakEnd", "SEStatus", "SEStart", "SEEnd"]
+    mixed = ("player_win", "player_win_jackpot", "withdrawable_win", "withdrawable_jackpot")
+    plain = [m for m in PLAYER_MEASURES if m not in mixed]
+    # equal rows are merged while amounts are still whole cents, which hash and compare cheaply
+    merged = rows.select(
+        "patron_id",
+        *labels,
+        *status,
+        *plain,
+        (exact_dollars("player_win") + F.col("player_win_jackpot")).cast(DOLLARS).alias("won"),
+        (exact_dollars("withdrawable_win") + F.col("withdrawable_jackpot")).cast(DOLLARS).alias("withdrawable"),
+    ).distinct()
+
     all_wagers = sum(
         (F.col(c) for c in ("wagers_tables", "wagers_livedealer", "wagers_betting", "wagers_other")),
         F.col("wagers_slots"),
     )
     cash_wagers = all_wagers - F.col("promo_player_wagers")
-    won = (exact_dollars("player_win") + F.col("player_win_jackpot")).cast(DOLLARS)
-    withdrawable = (exact_dollars("withdrawable_win") + F.col("withdrawable_jackpot")).cast(DOLLARS)
+    won = F.col("won")
     zero = F.lit(0)
-    stamp = "yyyyMMdd"
-    return rows.select(
+    return merged.select(
         F.lit(window.start.date()).alias("GamingDay"),
         F.lit(SITE_ID).alias("GamingSiteID"),
         F.col("patron_id").alias("PlayerID"),
-        age_years("birthdate", F.lit(run_at.date())).alias("Age"),
-        gender_code("gender").alias("Gender"),
-        postal_prefix("postal_code").alias("FSA"),
-        F.date_format(to_local("registration_completed_at", tz), stamp).alias("RegistrationDate"),
-        F.coalesce(F.date_format(to_local("last_active_at", tz), stamp), F.lit("0" * 8)).alias("LastActiveDate"),
+        "Age",
+        "Gender",
+        "FSA",
+        "RegistrationDate",
+        F.coalesce("LastActiveDate", F.lit(NEVER_ACTIVE)).alias("LastActiveDate"),
         dollars("start_balance").alias("StartBalance"),
         dollars("deposits").alias("Deposits"),
         dollars("withdrawals").alias("Withdrawals"),
@@ -305,7 +328,7 @@ def player_activity(
         won.alias("PlayerWin"),
         dollars("unsettled_wagers").alias("UnsettledWagers"),
         (won - dollars(cash_wagers)).cast(DOLLARS).alias("Win/Loss"),
-        withdrawable.alias("WithdrawableWin"),
+        F.col("withdrawable").alias("WithdrawableWin"),
         dollars("end_balance").alias("EndBalance"),
         dollars("promo_start_balance").alias("PromoStartBalance"),
         dollars("promo_adjustments").alias("PromoAdjustments"),
@@ -324,14 +347,9 @@ def player_activity(
         dollars("wagers_other").alias("WagersOther"),
         dollars(all_wagers).alias("WagersMobile"),
         zero.alias("WagersPC"),
-        "BreakStatus",
-        "BreakStart",
-        "BreakEnd",
-        "SEStatus",
-        "SEStart",
-        "SEEnd",
+        *status,
         F.lit("0").alias("HighRisk"),
-    ).distinct()
+    )
 
 
 def game_report(tables: Catalog, window: ReportWindow) -> DataFrame:

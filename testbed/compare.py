@@ -15,6 +15,14 @@ from testbed.queries import QUERIES
 from testbed.tables import RAW
 
 
+_SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+_SLOW_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
+
+
+def type_of(spark_type: str) -> str:
+    return _SQL_TYPES.get(spark_type, spark_type.upper())
+
+
 def plain(value):
     if isinstance(value, Decimal):
         return str(value.normalize() + 0) if value else "0"
@@ -52,9 +60,15 @@ def compare(spark, con, key: str, sf_dir: str, sql: str) -> tuple[bool, str]:
     if sorted(frame.columns) != sorted(columns):
         return False, f"columns {sorted(set(frame.columns) ^ set(columns))}"
     types = dict(zip(columns, (str(d[1]) for d in answer.description)))
-    odd = {c: types[c] for c in columns if types[c] in ("HUGEINT", "DOUBLE")}
+    odd = {c: (types[c], k) for c, k in frame.dtypes if types[c] != type_of(k)}
+    if odd:
+        note += f" types {odd}"
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    slow = [node for node in _SLOW_NODES if node in plan]
+    if slow:
+        note += f" plan {slow}"
     if ours == theirs:
-        return True, note + (f" types {odd}" if odd else "")
+        return True, note
     missing, extra = [r for r in theirs if r not in set(ours)][:2], [r for r in ours if r not in set(theirs)][:2]
     names = sorted(columns)
     return False, f"{note}, theirs {len(theirs)}\n   {names}\n   only sql   {missing}\n   only spark {extra}"
