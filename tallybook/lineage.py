@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
@@ -20,7 +22,10 @@ def shared_folder(spark: SparkSession) -> str | None:
     if current:
         return current
     if context.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tallybook-")
+        application = context.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="tallybook-")
+        return _local_folders[application]
     return None
 
 

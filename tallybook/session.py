@@ -13,6 +13,8 @@ SETTINGS = {
     # a hot join key is split even where the split costs one more exchange downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # shared copies go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # recording the call site of every column expression doubles the time to build a wide report
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
