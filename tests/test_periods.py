@@ -48,10 +48,23 @@ def test_day_column_prunes_directories(spark, tmp_path):
     assert "ts_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_local_time_in_spring_and_autumn(spark):
-    df = stamps(spark, "2023-03-12 06:59:00", "2023-03-12 07:00:00", "2023-11-05 05:30:00", "2023-11-05 06:30:00")
-    got = [r[0] for r in df.select(to_local("ts")).collect()]
-    assert got == [at("2023-03-12 01:59:00"), at("2023-03-12 03:00:00"), at("2023-11-05 01:30:00"), at("2023-11-05 01:30:00")]
+@pytest.mark.parametrize("zone", ["UTC", "America/Toronto", "Europe/Berlin"])
+def test_local_time_in_spring_and_autumn(spark, zone):
+    df = stamps(
+        spark, "2023-03-12 06:59:00", "2023-03-12 07:00:00", "2023-03-26 02:30:00", "2023-11-05 05:30:00", "2023-11-05 06:30:00"
+    )
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [r[0] for r in df.select(to_local("ts")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [
+        at("2023-03-12 01:59:00"),
+        at("2023-03-12 03:00:00"),
+        at("2023-03-25 22:30:00"),
+        at("2023-11-05 01:30:00"),
+        at("2023-11-05 01:30:00"),
+    ]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Toronto"])
