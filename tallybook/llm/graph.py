@@ -15,12 +15,12 @@ def _tidy(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (u, v); nodes with one root are connected.
 
-    Each round is a distributed union-find step: every node hangs itself under the smallest of itself and
-    its neighbours, in an order that is drawn anew by hashing, then under that one's choice; edges are
-    rewritten to the new parents and those within a tree go. Rounds grow with the logarithm of the
-    component size. Sums are combined before the shuffle and joins meet a table with one row a key, so a
-    node with very many edges is split by the adaptive join. Loops and repeated edges do not matter; no
-    edges give no rows; null ends are ignored.
+    Each round is a distributed union-find step: every node hangs itself under the smallest node within two
+    steps, in an order that is drawn anew by hashing; edges are rewritten to the new parents and those within
+    a tree go. A star is done in one round, rounds grow with the logarithm of a component's length. Minima
+    are combined before the shuffle and joins meet a table with one row a key, so a node with very many edges
+    is split by the adaptive join. Loops and repeated edges do not matter; no edges give no rows; null ends
+    are ignored.
     """
     kind = edges.schema["u"].dataType
     left = stored(_tidy(edges.where("u is not null and v is not null")))
@@ -32,8 +32,9 @@ def components(edges: DataFrame) -> DataFrame:
         own = F.struct(F.xxhash64("u", salt).alias("h"), F.col("u").alias("x"))
         one = both.groupBy("u").agg(F.min(order).alias("m")).select("u", F.least("m", own)["x"].alias("p"))
         one = stored(one)
-        two = one.alias("a").join(one.alias("b"), F.col("a.p") == F.col("b.u")).select("a.u", "b.p")
-        two = stored(two)
+        far = F.struct(F.xxhash64("p", salt).alias("h"), F.col("p").alias("x"))
+        near = both.join(one.toDF("v", "p"), "v").select("u", "p").union(one.select("u", "p"))
+        two = stored(near.groupBy("u").agg(F.min(far).alias("m")).select("u", F.col("m.x").alias("p")))
         steps.append(two)
         moved = left.join(two, "u").select(F.col("p").alias("u"), "v")
         moved = moved.join(two.toDF("v", "q"), "v").select("u", F.col("q").alias("v"))
