@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, decontam, langid, packing, scratch, substring, warc
+from tallybook.llm import bpe, decontam, jaccard, langid, lines, packing, quality, scratch, substring, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +37,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(fold("doc_id", 5) != 0))
+    out = quality.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -48,6 +60,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, path = _table(spark, sf_dir, "pages"), scratch.folder(spark)
     warc.write(pages, path)
@@ -66,8 +86,12 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
+    "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
+    "op8_vector_dedup": op8_vector_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
 }
 
