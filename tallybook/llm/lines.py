@@ -203,8 +203,8 @@ def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return roots.toDF("h", "root")
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """One row per row of ``docs``: id, n_lines, n_removed, kept_text, kept_sha256.
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, keep: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, n_lines, n_removed, kept_text, kept_sha256, and the column ``keep`` if named.
 
     Lines are parted by line feeds; empty ones are not counted and stay. Lines of at least ten bytes are
     compared by their 8-character shingles. Of each component of equal or similar lines one line is kept, the
@@ -226,6 +226,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     lines = stored(lines.join(groups.select("root", F.col("first").alias("kept")), "root").select("h", "kept.key", "kept.at").toDF("h", "kept_key", "kept_at"))
     gone = places.join(lines, "h").where("not (key = kept_key and at = kept_at)")
     gone = gone.groupBy("key").agg(F.collect_set("at").alias("drop"))
-    joined = base.join(gone, "key", "left").select("id", "text", "drop", F.col("text").isNotNull().alias("there"))
+    whole = docs.select(F.struct(F.col(id_col), *([F.col(keep)] if keep else [])).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
+    joined = whole.join(gone, "key", "left").select("id", "text", "drop", F.col("text").isNotNull().alias("there"))
+    kind = joined.schema["id"].dataType.simpleString()
     out = joined.mapInArrow(_cut, f"id {kind}, n_lines long, n_removed long, kept_text string, kept_sha256 string")
-    return out.withColumnRenamed("id", id_col)
+    return out.select("id.*", "n_lines", "n_removed", "kept_text", "kept_sha256")
