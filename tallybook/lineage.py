@@ -2,43 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, else the warehouse.
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session without one gets a temporary folder of its own; elsewhere there is none.
+    Both are shared by definition, so the same happens in a local session and on a cluster.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if context.master.startswith("local"):
-        application = context.applicationId
-        if application not in _local_folders:
-            _local_folders[application] = tempfile.mkdtemp(prefix="tallybook-")
-        return _local_folders[application]
-    return None
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def compute_once(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and go on from there.
+    """Write the frame to the shared folder as Parquet and go on from there.
 
-    The copy outlives the executors that made it. Without a shared folder the frame stays as it
-    is and is computed by every branch that reads it.
+    The copy outlives the executors that made it; a branch reads only the columns it needs, and the planner
+    knows the copy's size.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = shared_folder(df.sparkSession)
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/once-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -183,6 +183,7 @@ def withdrawal_activity(
     by_month: bool,
     players: DataFrame | None = None,
     weigh_matched: bool = False,
+    cut_credits: bool = False,
     prefix: str = "",
     wire_ledger: DataFrame | None = None,
     collapse: bool = False,
@@ -191,8 +192,9 @@ def withdrawal_activity(
 
     A player with both kinds has two rows, which doubles what is joined to them later;
     ``collapse`` adds them up instead. With a driver (patron_id, times) wires count once per
-    driver row, matched withdrawals only if ``weigh_matched``. ``wire_ledger`` is given where
-    wires are read over a wider period than matched withdrawals.
+    driver row, matched withdrawals only if ``weigh_matched``. The driver cuts the debit legs;
+    the house's credit legs, which may name no player, only with ``cut_credits``.
+    ``wire_ledger`` is given where wires are read over a wider period than matched withdrawals.
     """
     month = ["transaction_period"] if by_month else []
 
@@ -200,7 +202,7 @@ def withdrawal_activity(
         return [bucket(to_local(ts, tz), "month").alias("transaction_period")] if by_month else []
 
     keys = ["ledger_transaction_id", "cents"]
-    credits = driven(ledger_legs(ledger, WITHDRAWALS, "credit"), players)
+    credits = driven(ledger_legs(ledger, WITHDRAWALS, "credit"), players if cut_credits else None)
     partners = credits.groupBy(*keys).agg(F.count(F.lit(1)).alias("_partners"))
     debits = driven(ledger_legs(ledger, WITHDRAWALS, "debit"), players).join(partners, keys)
     weight = F.col("_partners") * (F.col("times") if weigh_matched else F.lit(1))

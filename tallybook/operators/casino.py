@@ -87,10 +87,13 @@ def casino_rollbacks(
     ).agg(F.sum("amount_cents").alias("cents"))
 
 
-def matched_rollbacks(ledger: DataFrame, *, by: Sequence[str | Column]) -> DataFrame:
-    """Rollbacks as matched ledger legs (B20, ledger form)."""
+def matched_rollbacks(
+    ledger: DataFrame, *, by: Sequence[str | Column], credits: DataFrame | None = None
+) -> DataFrame:
+    """Rollbacks as matched ledger legs (B20, ledger form); ``credits`` where only debits are cut to a window."""
+    other = ledger if credits is None else credits
     return match_legs(
-        ledger_legs(ledger, CASINO_ROLLBACKS, "debit"), ledger_legs(ledger, CASINO_ROLLBACKS, "credit"), by
+        ledger_legs(ledger, CASINO_ROLLBACKS, "debit"), ledger_legs(other, CASINO_ROLLBACKS, "credit"), by
     )
 
 

@@ -50,8 +50,14 @@ def only(df: DataFrame, ids: DataFrame, key: str, id_col: str) -> DataFrame:
 
 
 def exclude(df: DataFrame, ids: DataFrame, key: str, id_col: str) -> DataFrame:
-    """Rows whose key is not in the id set; a row without a key stays."""
-    return df.join(ids, df[key] == ids[id_col], "left_anti")
+    """Rows whose key is not in the id set; a row without a key stays.
+
+    Rows without a key get one from all their columns that matches nothing, so they spread over the tasks.
+    """
+    own = F.concat(F.lit("\x00"), F.xxhash64(*df.columns).cast("string"))
+    keyed = df.withColumn("_excluded", F.coalesce(F.col(key), own))
+    out = ids.select(F.col(id_col).alias("_excluded_id"))
+    return keyed.join(out, F.col("_excluded") == F.col("_excluded_id"), "left_anti").drop("_excluded")
 
 
 def spread_key(key: Column, *fallback: str) -> Column:

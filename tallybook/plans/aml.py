@@ -103,7 +103,7 @@ def high_value_deposits(
     mine = ledger.join(players.select(F.col("patron_id").alias("a_patron_id")), "a_patron_id", "left_semi")
     stack = revenue.sports_stack(
         union_transfers(
-            _per_second(cash_bets(mine, free_bet_ids(ledger), tz, SPORTS_AND_CASINO_BETS)),
+            _per_second(cash_bets(mine, free_bet_ids(ledger), tz, SPORTS_AND_CASINO_BETS, credits=ledger)),
             _per_second(_weighted(bet_ops.free_bets_wagered(tables.bets, None, tz=tz), players, False)),
         ),
         _per_second(_weighted(bet_ops.voided(tables.bets, None, tz=tz), players, False)),
@@ -213,13 +213,14 @@ def non_earning_occupation(
     lifetime = bet_ops.bet_activity(
         repeated, [F.col("patron_id")], cash_excludes_free=False, prefix="lt_", free_default=0
     )
-    taken = alerts.withdrawal_activity(period, tz=tz, by_month=True, players=players, collapse=collapse)
+    taken = alerts.withdrawal_activity(period, tz=tz, by_month=True, players=players, cut_credits=True, collapse=collapse)
     lt_taken = alerts.withdrawal_activity(
         period,
         tz=tz,
         by_month=False,
         players=players,
         weigh_matched=True,
+        cut_credits=True,
         wire_ledger=ledger,
         prefix="lt_",
         collapse=collapse,

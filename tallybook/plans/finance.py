@@ -41,12 +41,23 @@ from tallybook.plans.models import jackpots_from_history
 from tallybook.sources.catalog import Catalog
 
 
-def cash_bets(ledger: DataFrame, free: DataFrame, tz: str, pair=SPORTS_BETS) -> DataFrame:
-    """Matched stakes of bets outside the free-bet set, per (ts, player, bet)."""
-    rows = ledger.withColumn("_bet", bet_id())
-    rows = exclude(rows.where(F.col(pair.type_column).isin(*pair.types)), free, "_bet", "bet_id").drop("_bet")
+def cash_bets(
+    ledger: DataFrame, free: DataFrame, tz: str, pair=SPORTS_BETS, *, credits: DataFrame | None = None
+) -> DataFrame:
+    """Matched stakes of bets outside the free-bet set, per (ts, player, bet).
+
+    ``credits`` is the ledger the credit legs come from where only the debit legs are cut, to a window
+    or to players.
+    """
+
+    def staked(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.col(pair.type_column).isin(*pair.types)).withColumn("_bet", bet_id())
+        return exclude(rows, free, "_bet", "bet_id").drop("_bet")
+
+    debits = staked(ledger)
     by = [to_local("posted_at", tz).alias("ts"), "patron_id", F.col("ref_id").alias("bet_id")]
-    return match_legs(ledger_legs(rows, pair, "debit"), ledger_legs(rows, pair, "credit"), by)
+    other = debits if credits is None else staked(credits)
+    return match_legs(ledger_legs(debits, pair, "debit"), ledger_legs(other, pair, "credit"), by)
 
 
 def sports_payouts(ledger: DataFrame, tz: str, p_types=SPORTS_PAYOUT_TYPES) -> DataFrame:
@@ -224,7 +235,9 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
 
     resettled = resettlement(by_account, tables.bet_states, window, tz=tz).where(F.col("promo_id").isNull())
     voids = bet_ops.voided_by_day(_of_players(tables.bets, players, "patron_id"), filed, tz=tz)
-    placed = cash_bets(by_player, free, tz, SPORTS_BETS_BY_TX_TYPE)
+    # only the debit's day counts; its credit may be posted in another one
+    any_day = _of_players(in_state(tables.accounting, ONTARIO), players, "p_patron_id")
+    placed = cash_bets(by_player, free, tz, SPORTS_BETS_BY_TX_TYPE, credits=any_day)
     paid_rows = exclude(by_player.withColumn("_bet", bet_id()), free_bets, "_bet", "bet_id").drop("_bet")
     # of the two settlement branches the first checks the posting's player, the second its account
     settled_first = first_settlement(by_player, tables.bet_states, window, tz=tz).where("is_first")
@@ -239,7 +252,7 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
     payouts = casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz)
     undone = match_legs(
         ledger_legs(by_player, CASINO_ROLLBACKS_BY_ID, "debit"),
-        ledger_legs(by_player, CASINO_ROLLBACKS_BY_ID, "credit"),
+        ledger_legs(any_day, CASINO_ROLLBACKS_BY_ID, "credit"),
         [to_local("posted_at", tz).alias("ts")],
     )
 
@@ -336,6 +349,7 @@ def casino_ggr(tables: Catalog, window: ReportWindow, used: DataFrame, *, days:
     undone = casino.matched_rollbacks(
         _of_players(ledger, players, "p_patron_id"),
         by=[bucket(to_local("posted_at", tz), "day").alias("gaming_day"), "ref_id"],
+        credits=_of_players(in_state(tables.accounting, ONTARIO), players, "p_patron_id"),
     )
     on_game = tables.rollback_payout_info.select(F.col("patron_transaction_id").alias("ref_id"), "game_id")
     catalogue = tables.games.select(

@@ -20,6 +20,14 @@ SETTINGS = {
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """The settings above for a session that is already running, such as one on a cluster."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

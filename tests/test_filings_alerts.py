@@ -254,3 +254,17 @@ def test_used_free_wagers_window_is_closed_at_both_ends(spark):
     users = table(spark, "users", [{"patron_id": "p"}])
     used = promos.used_free_wagers(settled, users, awards, programmes, WINDOW, run_at=datetime(2023, 2, 2))
     assert collected(used, F.col("Wager ID"), F.col("Program Name")) == [("first", "Manual Award"), ("last", "Manual Award")]
+
+
+def test_credit_legs_of_the_house_need_not_name_a_driver_player(spark):
+    leg = {"t_type": "withdrawal", "p_type": "withdrawal", "patron_transaction_id": "w1"}
+    players = spark.createDataFrame([("p", 1)], "patron_id string, times bigint")
+    for house in (None, "house"):
+        rows = ledger(
+            spark,
+            {**leg, "a_patron_id": "p", "debit_cents": 500},
+            {**leg, "a_patron_id": house, "credit_cents": 500, "a_type": "clearing_withdrawals"},
+        )
+        given = {"tz": TORONTO, "by_month": False, "players": players}
+        assert collected(alerts.withdrawal_activity(rows, **given)) == [("p", 1, 500)]
+        assert collected(alerts.withdrawal_activity(rows, cut_credits=True, **given)) == []

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 from conftest import at, collected, ledger, table
 from pyspark.sql import functions as F
 
@@ -145,3 +147,26 @@ def test_a_third_of_all_postings_in_one_transaction(spark):
     )
     out = L.match_legs(hot, hot, ["ref_id"])
     assert collected(out) == [("r", 5 * n * n)]
+
+
+def test_exclude_keeps_rows_without_a_key_and_spreads_them(spark):
+    from tallybook.operators.ledger import exclude
+
+    rows = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("b", 4)], "bet_id string, n int")
+    ids = spark.createDataFrame([("a",), (None,)], "bet_id string")
+    got = exclude(rows, ids, "bet_id", "bet_id")
+    assert got.columns == ["bet_id", "n"]
+    assert collected(got, "n") == [(2,), (3,), (4,)]
+    assert "coalesce" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_stake_meets_a_credit_posted_outside_the_window(spark):
+    from tallybook.plans.finance import cash_bets
+
+    leg = {"p_vegas_bet_id": "b1", "t_type": "sportsbook_bet", "p_type": "sportsbook_bet", "a_type": "customer_liability"}
+    other = {**leg, "credit_cents": 700, "a_type": "sportsbook_unsettled_bets", "t_changed_at": datetime(2023, 2, 1)}
+    debit = ledger(spark, {**leg, "debit_cents": 700})
+    everything = debit.union(ledger(spark, other))
+    free = spark.createDataFrame([], "bet_id string")
+    assert cash_bets(debit, free, "America/Toronto").count() == 0
+    assert collected(cash_bets(debit, free, "America/Toronto", credits=everything), "patron_id", "cents") == [("p1", 700)]
