@@ -1,9 +1,10 @@
 """Near-dedup of vectors by a robust-pruned flat graph over overlapping cluster shards.
 
 Equal vectors of a label are one node with a count. Nodes are split into cluster shards until each has a
-bounded number of residents; a node also visits every shard in which a vector within the link distance could
-reside (its distance to the boundary between the two centroids is at most that distance), so links across
-boundaries are seen from both sides. Each shard builds a robust-pruned graph of its residents and visitors,
+bounded number of residents; a node also visits every shard whose boundary is so near that a vector at the
+link distance may reside beyond it. In many dimensions little of that distance points across a boundary: its
+share is normal with deviation 1/sqrt(d), and a node visits shards within SIGMAS deviations. So links across
+boundaries are seen from both sides, but for a few in a thousand. Each shard builds a robust-pruned graph of its residents and visitors,
 the adjacency lists of a node are united over all shards, and every node then searches each of its shards:
 greedily from the shard's medoids and its own list, then outwards over everything near the range. Only
 residents are counted, so a pair is counted once however many shards both visit.
@@ -27,7 +28,9 @@ AIM, MOST, FAN, FIT = 700, 1400, 32, 4096
 #: Visitors that one task takes; with more, the residents are searched in several tasks.
 VISITORS = 4 * MOST
 #: Candidates and edges of a node, pruning factor, beam, entry points, and how far below the range search goes on.
-POOL, DEGREE, ALPHA, BEAM, MEDOIDS, SLACK = 64, 32, 1.2, 16, 4, 0.03
+POOL, DEGREE, ALPHA, BEAM, MEDOIDS, SLACK = 64, 32, 1.2, 8, 4, 0.03
+#: Deviations of the way across a boundary within which a shard is visited.
+SIGMAS = 3.0
 
 
 def _unit(column: pd.Series) -> np.ndarray:
@@ -60,7 +63,8 @@ def _routes(link: float):
                 far = 2 - 2 * x @ middle.T
                 home = far.argmin(axis=1)
                 apart = np.sqrt(np.maximum(0, 2 - 2 * middle @ middle.T))
-                near = far - far.min(axis=1, keepdims=True) <= 2 * reach * apart[home] + 1e-9
+                across = reach * min(1.0, SIGMAS / np.sqrt(x.shape[1]))
+                near = far - far.min(axis=1, keepdims=True) <= 2 * across * apart[home] + 1e-9
                 row, child = np.nonzero(near)
                 out = own.iloc[row][["c", "m", "v"]].copy()
                 out["home"] = own["home"].to_numpy()[row] & (child == home[row])
