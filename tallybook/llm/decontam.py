@@ -129,8 +129,8 @@ def find_leaks(
     Tokens are runs of letters, digits and non-ASCII characters, in lower case. A document leaks an item if a
     stretch of the item, of ``least`` tokens or the whole of a shorter item, stands in it with at least the
     share ``agree`` of the tokens equal, place by place. Stretches are looked for along every alignment that
-    a seed proposes; the masks find three equal tokens in five, so a stretch that is substituted more evenly
-    than 80 % agreement can be missed if it is short (the test measures it). Items of fewer than five tokens
+    a seed proposes; each mask needs five equal tokens at its marked places, so a short stretch whose
+    substitutions break every mask is missed. How often was not measured. Items of fewer than five tokens
     have no seed and never match. Null and empty texts leak nothing; items with null text are skipped, items
     that repeat are reported once per id; an empty benchmark marks nothing.
 

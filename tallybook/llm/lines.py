@@ -121,7 +121,6 @@ def _alike(similar: float):
             keep = []
             for a, b in zip(left, right, strict=True):
                 many, few = max(len(a), len(b)), min(len(a), len(b))
-                # repeated shingles aside, sizes alone can rule a pair out only when all shingles differ
                 keep.append(a == b or (few * 4 >= many and similarity(a, b) >= similar))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -211,8 +210,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     first by id (null ids last), then by place; the others go. A null text stays null and has no lines, an
     empty one stays empty. A row that repeats an id with another text is told apart by the text; of a row
     that repeats another one wholly both copies are cut alike, so they keep what the first of them keeps. An
-    empty table gives no rows. A pair at similarity 0.8 is seen with probability 0.998, more alike ones more
-    often; every removal is backed by a chain of exactly checked pairs.
+    empty table gives no rows. A pair at similarity 0.8 shares a band with probability 0.998, but within a band
+    lines are compared with two hubs, not with each other, so some pairs stay unseen; lines of which one is
+    over four times as long as the other are never similar. Every removal is backed by a chain of exactly checked pairs.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", row_key("id", "text"))
     kind = base.schema["id"].dataType.simpleString()
