@@ -38,7 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest id."""
+    """Keeps of each group of near duplicates the document with the smallest id.
+
+    Rows that share that id all stay, so a row that repeats another wholly is not removed here.
+    """
     keep = jaccard.link(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi").select(*COLUMNS)
 
