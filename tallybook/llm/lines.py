@@ -79,17 +79,24 @@ def _new_lines(batches: Iterator[pa.RecordBatch]):
             yield data, w.start[fit], w.end[fit], w.hashes[fit]
 
 
-def _bands(wanted: Bits | None):
-    """(band, line) of every line, or of the bands that the bitmap may hold."""
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(line, its band hashes) of every line that this task has not yet seen."""
+    for data, start, end, hashes in _new_lines(batches):
+        bands = _band_hashes(signatures(data, start, end)).reshape(-1)
+        cuts = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * np.int32(BANDS))
+        lists = pa.ListArray.from_arrays(cuts, pa.array(bands.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), lists], names=["h", "bands"])
+
+
+def _bands(wanted: Bits):
+    """(band, line) of the bands that the bitmap may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for data, start, end, hashes in _new_lines(batches):
-            bands = _band_hashes(signatures(data, start, end)).reshape(-1)
-            line = np.repeat(hashes, BANDS)
-            if wanted is not None:
-                held = wanted.has(bands)
-                bands, line = bands[held], line[held]
-            yield pa.RecordBatch.from_arrays([pa.array(bands.view(np.int64)), pa.array(line.view(np.int64))], names=["b", "h"])
+        for batch in batches:
+            bands = batch.column("bands").flatten().to_numpy()
+            held = np.flatnonzero(wanted.has(bands.view(np.uint64)))
+            line = batch.column("h").to_numpy()[held // BANDS]
+            yield pa.RecordBatch.from_arrays([pa.array(bands[held]), pa.array(line)], names=["b", "h"])
 
     return run
 
@@ -173,13 +180,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(line hash, root) of the lines that are like another one. ``texts`` has one column, text.
 
-    Bands are counted first; only lines of bands that hold two different lines are sent again. In each band
-    all lines are compared with one of them; in a second round, with the lines that are already together
-    taken as one, those that remain are compared with another of their band. No pairs of a band are listed.
+    Signatures are made once and stored. Bands are counted first; only lines of bands that hold two different
+    lines are sent again. In each band all lines are compared with one of them; in a second round, with the
+    lines that are already together taken as one, those that remain are compared with another of their band.
+    No pairs of a band are listed.
     """
-    once = texts.mapInArrow(_bands(None), "b long, h long").groupBy("b").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    signed = stored(texts.mapInArrow(_signed, "h long, bands array<long>"))
+    once = signed.select("h", F.explode("bands").alias("b")).groupBy("b").agg(F.min("h").alias("low"), F.max("h").alias("high"))
     once = stored(once.where("low <> high").select("b"))
-    rows = texts.mapInArrow(_bands(bitmap(once, "b")), "b long, h long").join(once, "b")
+    rows = signed.mapInArrow(_bands(bitmap(once, "b")), "b long, h long").join(once, "b")
     rows = stored(rows.distinct())
     lines = stored(texts.mapInArrow(_texts(bitmap(rows, "h")), "h long, line string").groupBy("h").agg(F.first("line").alias("line")))
     checked: DataFrame | None = None
