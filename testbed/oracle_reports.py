@@ -55,9 +55,9 @@ FRAGMENTS["filing_days"] = """SELECT CAST(unnest(generate_series(TIMESTAMP '1996
 checks(
     b44_deduction_cap=f"""SELECT *, {_capped(exact('CAST((wagers - winnings) AS DECIMAL(28,2)) * 0.10'), 'free_bet_winnings')}
         FROM {{brands}}""",
-    b45_densify="""WITH days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1997-01-01',
-                TIMESTAMP '1997-01-01' + INTERVAL 399 DAY, INTERVAL 1 DAY)) AS TIMESTAMP) AS gaming_day),
-            keys AS (SELECT gaming_day, unnest(['BUILDING', 'HOUSEHOLD', 'Poker']) AS product_code FROM days)
+    b45_densify="""WITH days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01',
+                TIMESTAMP '2001-08-01', INTERVAL 1 DAY)) AS TIMESTAMP) AS gaming_day),
+            keys AS (SELECT gaming_day, unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY', 'Poker']) AS product_code FROM days)
         SELECT gaming_day, product_code, gaming_day + INTERVAL 1 DAY AS period_end, count(o_orderkey) AS orders
         FROM keys LEFT JOIN ({orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey)
           ON date_trunc('day', o_orderdate) = gaming_day AND c_mktsegment = product_code GROUP BY ALL""".replace(
@@ -251,13 +251,12 @@ checks(
 
 # --- jackpots over two clocks -----------------------------------------------------------------
 
-FRAGMENTS["names_given"] = "SELECT * FROM {jackpots} WHERE _changed_at >= TIMESTAMP '1994-01-03'"
 FRAGMENTS["wallet_one"] = f"""SELECT * FROM {{wallet_transactions}} WHERE updated_at < {U1} + INTERVAL 2 MINUTE
     QUALIFY rank() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1"""
 FRAGMENTS["links_one"] = f"""SELECT * FROM {{wallet_transaction_jackpots}} WHERE updated_at < {U1} + INTERVAL 2 MINUTE
     QUALIFY rank() OVER (PARTITION BY wallet_transaction_id, jackpot_id ORDER BY updated_at DESC) = 1"""
 checks(
-    r08_jackpots_from_history=_model("wallet_now", "links_now", "names_given", "_changed_at"),
+    r08_jackpots_from_history=_model("wallet_now", "links_now", "names_now", "_changed_at"),
     r08_jackpots_from_current=_model("wallet_one", "links_one", "jackpots", "patron_id"),
 )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import labels
 from tallybook.functions.money import dollars, exact_dollars
-from tallybook.functions.periods import TORONTO, ReportWindow, bucket, in_window, moment, to_local
+from tallybook.functions.periods import TORONTO, ReportWindow, bucket, in_window, to_local
 from tallybook.operators import alerts, balances, casino, jackpots, profiles, promos, regulator, revenue, sessions
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.ledger import (
@@ -528,8 +528,10 @@ def b44_deduction_cap(t):
 
 
 def _skeleton(t):
+    """Every day and segment of the orders, and a product without any."""
+    products = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Poker"]
     return regulator.period_skeleton(
-        t.orders.sparkSession, ["BUILDING", "HOUSEHOLD", "Poker"], datetime(1997, 1, 1), days=400, length=timedelta(days=1)
+        t.orders.sparkSession, products, datetime(1995, 1, 1), days=2405, length=timedelta(days=1)
     )
 
 
@@ -803,8 +805,7 @@ def r07_used_free_wagers(t):
 
 @query
 def r08_jackpots_from_history(t):
-    names = t.jackpots.where(F.col("_changed_at") >= moment("1994-01-03 00:00:00"))
-    return models.jackpots_from_history(t, PERIOD.end_utc, jackpots=names)
+    return models.jackpots_from_history(t, PERIOD.end_utc)
 
 
 @query
