@@ -30,6 +30,11 @@ HEADLINE = (
     "b36_player_sessions",
     "b47_threshold_alerts",
     "b52_payment_profile",
+    "b53_player_ggr",
+    "b60_game_players",
+    "b61_casino_payouts",
+    "b61_free_round_payouts",
+    "b61_game_payouts",
     "r01_results_detail",
     "r02_results_detail_plain",
     "r03_player_activity",
