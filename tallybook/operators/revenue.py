@@ -75,12 +75,14 @@ def results_detail(
     window: ReportWindow,
     *,
     jackpots: bool,
+    ordered: bool = False,
 ) -> DataFrame:
     """Revenue per wager, sports and casino.
 
     With jackpots the rows are summed per wager; without them casino rows stay one per movement.
     No row is dropped for being zero: the resettlement amount is never missing, which is what
-    the reference's filter asks.
+    the reference's filter asks. ``ordered`` sorts by the first eleven columns, missing values last; a
+    global sort reads its input twice, so it is left to the caller.
     """
     tz = window.tz
     accounts = users.select("patron_id", account_designation("is_tester").alias("Account Designation"))
@@ -179,7 +181,8 @@ def results_detail(
         ]
     else:
         columns.append(dollars(all_cents).alias("Gross Revenue"))
-    return rows.select(*columns)
+    out = rows.select(*columns)
+    return out.orderBy(*[F.col(k).asc_nulls_last() for k in keys[:11]]) if ordered else out
 
 
 def player_ggr(

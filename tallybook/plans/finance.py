@@ -74,7 +74,7 @@ def _stated(rows: DataFrame, *, state: str | None = ONTARIO, wager: str = "ref_i
     return rows.withColumn("wager_id", F.col(wager))
 
 
-def results_detail_with_jackpots(tables: Catalog, window: ReportWindow) -> DataFrame:
+def results_detail_with_jackpots(tables: Catalog, window: ReportWindow, *, ordered: bool = False) -> DataFrame:
     """Results detail with jackpot contributions and wins."""
     tz = window.tz
     ledger = in_window(tables.accounting, "t_changed_at", window)
@@ -132,6 +132,7 @@ def results_detail_with_jackpots(tables: Catalog, window: ReportWindow) -> DataF
         tables.users,
         window,
         jackpots=True,
+        ordered=ordered,
     )
 
 
@@ -145,6 +146,7 @@ def results_detail_without_jackpots(
     free_rounds: DataFrame | None = None,
     free_rounds_rolled_back: DataFrame | None = None,
     later_states: DataFrame | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Results detail before jackpots.
 
@@ -203,6 +205,7 @@ def results_detail_without_jackpots(
         tables.users,
         window,
         jackpots=False,
+        ordered=ordered,
     )
 
 
