@@ -4,9 +4,11 @@ import os
 
 import pytest
 
+from tallybook.plans import finance
 from testbed.compare import compare, connect
 from testbed.oracle import build
-from testbed.queries import QUERIES
+from testbed.queries import PERIOD, QUERIES
+from testbed.tables import catalog
 
 SF = "/root/testdata/sf0.001"
 STATEMENTS = build()
@@ -35,3 +37,10 @@ def test_driver_contract(spark):
     import __spark_entry__ as contract
 
     assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("report", [finance.results_detail_with_jackpots, finance.results_detail_without_jackpots])
+def test_results_detail_in_its_final_order(spark, report):
+    rows = report(catalog(spark, SF), PERIOD, ordered=True).collect()
+    keys = [[(v is None, v or "") if v is None or isinstance(v, str) else (False, v) for v in r[:11]] for r in rows]
+    assert rows and keys == sorted(keys)
