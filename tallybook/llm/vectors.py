@@ -1,12 +1,16 @@
 """Near-dedup of vectors by a robust-pruned flat graph over overlapping cluster shards.
 
 Equal vectors of a label are one node with a count. Nodes are split into cluster shards until each has a
-bounded number of residents; a node also visits every shard in which a vector within the link distance could
-reside (its distance to the boundary between the two centroids is at most that distance), so links across
-boundaries are seen from both sides. Each shard builds a robust-pruned graph of its residents and visitors,
-the adjacency lists of a node are united over all shards, and every node then searches each of its shards:
-greedily from the shard's medoids and its own list, then outwards over everything near the range. Only
-residents are counted, so a pair is counted once however many shards both visit.
+bounded number of residents. Where a vector within the link distance could reside in another shard (the
+distance to the boundary between the two centroids is at most that distance), a node may have to visit it;
+of two shards one side visits the other, so a link across a boundary is looked for once and counted for
+both ends. Each shard builds a robust-pruned graph of its residents and visitors, the adjacency lists of a
+node are united over all shards, and every node then searches each of its shards: greedily from the shard's
+medoids and its own list, then outwards over everything near the range. Only residents are found, so a pair
+is counted once however many shards both visit.
+
+Exact boundaries hardly part vectors of many dimensions, so shards are as large as a task's memory allows:
+a search costs nearly the same in a large shard, and every split adds visits.
 """
 
 from __future__ import annotations
@@ -23,9 +27,11 @@ from tallybook.llm.scratch import stored
 
 LINK = 0.98
 #: Residents a shard aims at and may have; children of a split; rows that a split's centroids are fitted on.
-AIM, MOST, FAN, FIT = 700, 1400, 32, 4096
+AIM, MOST, FAN, FIT = 4096, 8192, 32, 8192
 #: Visitors that one task takes; with more, the residents are searched in several tasks.
-VISITORS = 4 * MOST
+VISITORS = MOST
+#: Queries that are searched at once.
+BLOCK = 256
 #: Candidates and edges of a node, pruning factor, beam, entry points, and how far below the range search goes on.
 POOL, DEGREE, ALPHA, BEAM, MEDOIDS, SLACK = 64, 32, 1.2, 16, 4, 0.03
 
@@ -49,6 +55,11 @@ def _centroids(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": frame["shard"][:1], "centroids": [middle.tolist()]})
 
 
+def _goes(own, other):
+    """Whether residents of ``own`` visit ``other``; of two different shards exactly one goes to the other."""
+    return (own < other) == ((own + other) % 2 == 0)
+
+
 def _routes(link: float):
     """Each row's new home (residents only), and the shards it visits."""
     reach = np.sqrt(2 - 2 * link)
@@ -61,6 +72,8 @@ def _routes(link: float):
                 home = far.argmin(axis=1)
                 apart = np.sqrt(np.maximum(0, 2 - 2 * middle @ middle.T))
                 near = far - far.min(axis=1, keepdims=True) <= 2 * reach * apart[home] + 1e-9
+                here, to = home[:, None], np.arange(len(middle))
+                near &= ~own["home"].to_numpy(bool)[:, None] | (here == to) | _goes(here, to)
                 row, child = np.nonzero(near)
                 out = own.iloc[row][["c", "m", "v"]].copy()
                 out["home"] = own["home"].to_numpy()[row] & (child == home[row])
@@ -105,7 +118,7 @@ def _build(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"c": names, "edges": [names[x].tolist() for x in _pruned(_unit(frame["v"]))]})
 
 
-def search(x: np.ndarray, edges: list[np.ndarray], link: float) -> Iterator[tuple[int, np.ndarray]]:
+def search(x: np.ndarray, edges: list[np.ndarray], link: float, asking: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(vector, those that its search from the medoids found and verified in range), itself left out."""
     n = len(x)
     width = max(1, max(map(len, edges), default=1))
@@ -116,40 +129,50 @@ def search(x: np.ndarray, edges: list[np.ndarray], link: float) -> Iterator[tupl
     first = [int((x @ middle).argmax())]
     for _ in range(min(MEDOIDS, n) - 1):
         first.append(int((x @ x[first].T).max(axis=1).argmin()))
-    for low in range(0, n, 512):
-        q = np.arange(low, min(n, low + 512))
+    asking = np.arange(n) if asking is None else asking
+    for low in range(0, len(asking), BLOCK):
+        q = asking[low : low + BLOCK]
         rows = np.arange(len(q))
-        seen = np.zeros((len(q), n), bool)
+        seen, done = np.zeros((2, len(q), n), bool)
         near = np.full((len(q), n), -2.0, np.float64)
         start = np.concatenate([np.tile(first, (len(q), 1)), q[:, None]], axis=1)
         seen[rows[:, None], start] = True
         near[rows[:, None], start] = np.einsum("qd,qsd->qs", x[q], x[start])
-        done = np.zeros_like(seen)
+        beam, value = start, near[rows[:, None], start]
         for _ in range(4 * BEAM):
-            beam = min(BEAM, n)
-            best = np.argpartition(-near, beam - 1, axis=1)[:, :beam]
-            value = np.where(done[rows[:, None], best], -3, near[rows[:, None], best])
-            pick = best[rows, value.argmax(axis=1)]
-            live = value.max(axis=1) > -2
-            if not live.any():
-                break
-            done[rows[live], pick[live]] = True
-            _visit(x, q, table, rows[live], pick[live], seen, near)
-        while True:
-            r, node = np.nonzero((near >= link - SLACK) & ~done)
-            if not len(r):
+            open_ = np.where((beam >= 0) & ~done[rows[:, None], beam], value, -3)
+            place = open_.argmax(axis=1)
+            live = np.flatnonzero(open_[rows, place] > -2)
+            if not len(live):
                 break
+            pick = beam[live, place[live]]
+            done[live, pick] = True
+            to = np.full((len(q), width), -1)
+            to[live] = table[pick]
+            to[(to >= 0) & seen[rows[:, None], to]] = -1
+            r, j = np.nonzero(to >= 0)
+            seen[r, to[r, j]] = True
+            new = np.full(to.shape, -3.0)
+            new[r, j] = near[r, to[r, j]] = np.einsum("pd,pd->p", x[q[r]], x[to[r, j]])
+            beam, value = np.concatenate([beam, to], axis=1), np.concatenate([value, new], axis=1)
+            if beam.shape[1] > BEAM:
+                best = np.argpartition(-value, BEAM - 1, axis=1)[:, :BEAM]
+                beam, value = beam[rows[:, None], best], value[rows[:, None], best]
+        r, node = np.nonzero((near >= link - SLACK) & ~done)
+        while len(r):
             done[r, node] = True
-            for k in range(0, len(r), 20_000):
-                _visit(x, q, table, r[k : k + 20_000], node[k : k + 20_000], seen, near)
+            found = [_visit(x, q, table, r[k : k + 20_000], node[k : k + 20_000], seen, near) for k in range(0, len(r), 20_000)]
+            r, node = (np.concatenate(y) for y in zip(*found, strict=True))
+            wide = near[r, node] >= link - SLACK
+            r, node = r[wide], node[wide]
         hit = near >= link
         hit[rows, q] = False
         for k in rows:
             yield int(q[k]), np.flatnonzero(hit[k])
 
 
-def _visit(x, q, table, row, node, seen, near) -> None:
-    """Looks at the neighbours of ``node`` on behalf of the query in ``row``."""
+def _visit(x, q, table, row, node, seen, near) -> tuple[np.ndarray, np.ndarray]:
+    """Looks at the neighbours of ``node`` on behalf of the query in ``row``; gives those not seen before."""
     to = table[node]
     k, j = np.nonzero(to >= 0)
     r, t = row[k], to[k, j]
@@ -158,15 +181,16 @@ def _visit(x, q, table, row, node, seen, near) -> None:
     r, t = pair // seen.shape[1], pair % seen.shape[1]
     seen[r, t] = True
     near[r, t] = np.einsum("pd,pd->p", x[q[r]], x[t])
+    return r, t
 
 
 def _found(link: float):
-    """Per node of a task: links to residents, counted with copies; and edges that connect what was found."""
+    """Per node of a task: links counted with copies, those with visitors at both ends; and edges that connect what was found."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["c", "home"], ascending=[True, False])
-        names, copies, home = frame["c"].to_numpy(), frame["m"].to_numpy(), frame["home"].to_numpy()
-        asks = frame["asks"].to_numpy()
+        names, copies, home = frame["c"].to_numpy(), frame["m"].to_numpy(), frame["home"].to_numpy(bool)
+        asks = frame["asks"].to_numpy(bool)
         place = {c: i for i, c in enumerate(names.tolist())}
         edges = [np.array([place[c] for c in (e if e is not None else ()) if c in place], np.int64) for e in frame["edges"]]
         parent = np.arange(len(names))
@@ -178,20 +202,23 @@ def _found(link: float):
             return i
 
         count, joined = np.zeros(len(names), np.int64), []
-        for i, hits in search(_unit(frame["v"]), edges, link):
+        for i, hits in search(_unit(frame["v"]), edges, link, np.flatnonzero(asks)):
             hits = hits[home[hits]]
-            count[i] = copies[hits].sum()
+            count[i] += copies[hits].sum()
+            if not home[i]:
+                count[hits] += copies[i]
             roots = {top(int(j)) for j in hits} - {top(i)}
             for j in roots:
                 joined.append((names[i], names[j]))
                 parent[j] = top(i)
-        own = [int(c) for c, a in zip(names, asks, strict=True) if a]
+        told = asks | (count > 0)
+        own = names[told].tolist()
         pairs = [*zip(*joined)] or [(), ()]
         none = [None] * len(joined)
         return pd.DataFrame(
             {
                 "c": pd.array(own + none, "Int64"),
-                "links": np.concatenate([count[asks.astype(bool)], np.zeros(len(joined), np.int64)]),
+                "links": np.concatenate([count[told], np.zeros(len(joined), np.int64)]),
                 "u": pd.array([None] * len(own) + [int(x) for x in pairs[0]], "Int64"),
                 "v": pd.array([None] * len(own) + [int(x) for x in pairs[1]], "Int64"),
             }
@@ -239,6 +266,7 @@ def _shards(nodes: DataFrame, link: float) -> DataFrame:
     parted = open_.join(sizes, "shard").withColumn("parts", F.ceil(F.col("rows") / MOST).cast("int"))
     parted = parted.withColumn("own", F.pmod(F.xxhash64("c"), F.col("parts")))
     parted = parted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    parted = parted.where(~F.col("home") | (F.col("own") == F.col("part")) | _goes(F.col("own"), F.col("part")))
     parted = parted.select(
         F.concat("shard", F.lit(":"), F.col("part").cast("string")).alias("shard"), "c", "m", "v", (F.col("home") & (F.col("own") == F.col("part"))).alias("home")
     )

@@ -205,6 +205,26 @@ def test_vectors_link_as_brute_force(spark):
     assert vectors.near_duplicates(table.where("false")).count() == 0
 
 
+def test_vector_links_across_shards_count_at_both_ends(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "AIM", 40)
+    monkeypatch.setattr(vectors, "MOST", 80)
+    monkeypatch.setattr(vectors, "VISITORS", 60)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(500, 5))
+    x = np.concatenate([x, x[0] + rng.normal(size=(200, 5)) * 0.05, x[:30] + rng.normal(size=(30, 5)) * 0.05, x[:10]])
+    table = spark.createDataFrame([(i, v.tolist(), int(i % 50 == 7)) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in vectors.near_duplicates(table).collect()}
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.arange(len(x)) % 50 == 7
+    near = (y @ y.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    least = np.arange(len(x))
+    while (low := np.minimum(least, np.where(near, least, len(x)).min(axis=1))).tolist() != least.tolist():
+        least = low
+    assert {i: got[i].n_links for i in got} == dict(enumerate(near.sum(axis=1).tolist()))
+    assert {i: got[i].component_id for i in got} == dict(enumerate(least.tolist()))
+
+
 def test_warc_round_trip_and_salvage(spark, tmp_path):
     long = "é<p>" * 200
     rows = [(3, "u3", long), (1, "u\r\n1", long), (2, None, "tiny"), (4, "u4", "tiny"), (5, "u5", None), (5, "u5", None), (6, "u6", "WARC/1.1\r\n\r\n")]
