@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.labels import age_years, gender_code, postal_prefix
 from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_dollars
-from tallybook.functions.periods import ReportWindow, bucket, in_window, moment, to_local
+from tallybook.functions.periods import ReportWindow, bucket, moment, to_local
 from tallybook.lineage import compute_once
 from tallybook.operators import balances, casino, jackpots, sessions
 from tallybook.operators import bets as bet_ops
@@ -25,7 +25,6 @@ from tallybook.operators.ledger import (
     cash_adjustment,
     deposit_flows,
     flag_promo,
-    in_state,
     ledger_flows,
     matched_transfers,
     on_customer,
@@ -37,7 +36,7 @@ from tallybook.operators.profiles import status_flags
 from tallybook.operators.regulator import SITE_ID
 from tallybook.operators.revenue import GAME_MEASURES, game_activity
 from tallybook.operators.settlement import first_settlement, resettlement
-from tallybook.plans.finance import cash_bets
+from tallybook.plans.finance import cash_bets, stored_window
 from tallybook.plans.models import jackpots_from_history
 from tallybook.operators.markets import bet_and_market_info
 from tallybook.sources.catalog import Catalog
@@ -67,7 +66,7 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
     # free bets themselves are the id set
     free = tables.bets.where(bet_ops.is_free()).select(F.col("id").alias("bet_id"))
     sports = flag_promo(ledger.where(on_customer(*SPORTS_PAYOUT_TYPES)), free)
-    resettled = resettlement(tables.accounting, tables.bet_states, window, tz=tz, state=ONTARIO)
+    resettled = resettlement(ledger, tables.bet_states, window, tz=tz)
     resettled = resettled.withColumn("is_promo", F.col("promo_id").isNotNull())
     return _Flows(
         cash_bets=cash_bets(ledger, free, tz),
@@ -80,7 +79,7 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
             ],
             tz,
         ).withColumnRenamed("ref_id", "bet_id"),
-        settled=first_settlement(tables.accounting, tables.bet_states, window, tz=tz, state=ONTARIO),
+        settled=first_settlement(ledger, tables.bet_states, window, tz=tz),
         resettled=resettled.groupBy("ts", "patron_id", "bet_id", "is_promo").agg(F.sum("cents").alias("cents")),
         voided=bet_ops.voided(tables.bets, window, tz=tz, promo=None),
         pending=bet_ops.open_exposure(tables.bets, window, promo=None),
@@ -98,7 +97,7 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
             tz=tz,
             wager_info=tables.wager_and_game_info if with_category else None,
         ),
-        casino_won=casino.casino_payouts(in_state(tables.accounting, ONTARIO), tables.casino_payouts, window, tz=tz),
+        casino_won=casino.casino_payouts(ledger, tables.casino_payouts, window, tz=tz),
         free_round_payouts=casino.free_round_payouts(
             tables.casino_payouts, tables.patron_transactions, window, tz=tz
         ),
@@ -143,7 +142,7 @@ def player_measures(
 ) -> DataFrame:
     """Every measure of the player report per (gaming day, player)."""
     tz = window.tz
-    ledger = in_state(in_window(tables.accounting, "t_changed_at", window), ONTARIO)
+    ledger = stored_window(tables.accounting, window, ONTARIO)
     f = _flows(tables, window, ledger, with_category=True)
 
     moved = ledger_flows(
@@ -355,12 +354,10 @@ def player_activity(
 def game_report(tables: Catalog, window: ReportWindow) -> DataFrame:
     """Game activity of the period."""
     tz = window.tz
-    ledger = in_state(in_window(tables.accounting, "t_changed_at", window), ONTARIO)
+    ledger = stored_window(tables.accounting, window, ONTARIO)
     f = _flows(tables, window, ledger, with_category=False)
     players = real_players(tables.users)
-    wagers = casino.transfer_to_casino(
-        in_state(tables.accounting, ONTARIO), tables.wager_and_game_info, window, tz=tz, game=()
-    )
+    wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, window, tz=tz, game=())
     contributed = jackpots.jackpot_contributions(wagers, f.model, ["ts", "patron_id", "ref_id"])
     keys = ["ts", "patron_id", "ref_id"]
     won_cash = jackpots.jackpot_payouts(f.casino_won, f.model, keys, free=False)

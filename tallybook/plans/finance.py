@@ -74,25 +74,30 @@ def _stated(rows: DataFrame, *, state: str | None = ONTARIO, wager: str = "ref_i
     return rows.withColumn("wager_id", F.col(wager))
 
 
+def stored_window(ledger: DataFrame, window: ReportWindow, state: str | None = None) -> DataFrame:
+    """The window's postings, read from the ledger once and stored; every flow of a report branches from there."""
+    return compute_once(in_state(in_window(ledger, "t_changed_at", window), state))
+
+
 def results_detail_with_jackpots(tables: Catalog, window: ReportWindow, *, ordered: bool = False) -> DataFrame:
     """Results detail with jackpot contributions and wins."""
     tz = window.tz
-    ledger = in_window(tables.accounting, "t_changed_at", window)
+    ledger = stored_window(tables.accounting, window)
     model = compute_once(jackpots_from_history(tables, window.end_utc))
 
     free = free_bet_ids(tables.accounting)
     sports = revenue.sports_stack(
         union_transfers(cash_bets(ledger, free, tz), bet_ops.free_bets_wagered(tables.bets, window, tz=tz)),
         bet_ops.voided(tables.bets, window, tz=tz),
-        resettlement_rollup(resettlement(tables.accounting, tables.bet_states, window, tz=tz)),
+        resettlement_rollup(resettlement(ledger, tables.bet_states, window, tz=tz)),
         union_transfers(
             sports_payouts(ledger, tz),
-            first_settlement(tables.accounting, tables.bet_states, window, tz=tz, state=ONTARIO),
+            first_settlement(ledger, tables.bet_states, window, tz=tz, state=ONTARIO),
         ),
     )
 
     wagers = casino.transfer_to_casino(
-        tables.accounting, tables.wager_and_game_info, window, tz=tz, extra=["gaming_state"], game=()
+        ledger, tables.wager_and_game_info, window, tz=tz, extra=["gaming_state"], game=()
     )
     free_rounds = casino.free_rounds_wagered(tables.casino_wagers, tables.patron_transactions, window, tz=tz)
     undone = casino.casino_rollbacks(
@@ -103,7 +108,7 @@ def results_detail_with_jackpots(tables: Catalog, window: ReportWindow, *, order
         patron_transactions=tables.patron_transactions,
     )
     paid = casino.casino_payouts(
-        tables.accounting,
+        ledger,
         tables.casino_payouts,
         window,
         tz=tz,
@@ -154,12 +159,12 @@ def results_detail_without_jackpots(
     by the same operators. Cash rollbacks take the rollback's own time.
     """
     tz = window.tz
-    ledger = in_window(tables.accounting, "t_changed_at", window)
+    ledger = stored_window(tables.accounting, window)
     free = free_bets if free_bets is not None else free_bet_ids(tables.accounting)
     if free_bets_wagered is None:
         free_bets_wagered = bet_ops.free_bets_wagered(tables.bets, window, tz=tz)
     if resettled is None:
-        resettled = resettlement(tables.accounting, tables.bet_states, window, tz=tz)
+        resettled = resettlement(ledger, tables.bet_states, window, tz=tz)
     if free_rounds is None:
         free_rounds = casino.free_rounds_wagered(tables.casino_wagers, tables.patron_transactions, window, tz=tz)
     rollback = dict(window=window, tz=tz)
@@ -178,7 +183,7 @@ def results_detail_without_jackpots(
         union_transfers(
             sports_payouts(ledger, tz),
             first_settlement(
-                tables.accounting, tables.bet_states, window, tz=tz, state=ONTARIO, later_states=later_states
+                ledger, tables.bet_states, window, tz=tz, state=ONTARIO, later_states=later_states
             ),
         ),
     )
@@ -186,14 +191,14 @@ def results_detail_without_jackpots(
         tables.casino_wager_rollbacks, tables.wager_and_game_info, promo=False, **rollback
     ).unionByName(free_rounds_rolled_back)
     paid = casino.casino_payouts(
-        tables.accounting,
+        ledger,
         tables.casino_payouts,
         window,
         tz=tz,
         cash_only=False,
         extra=["gaming_state", "parent_id"],
     )
-    wagers = casino.transfer_to_casino(tables.accounting, tables.wager_and_game_info, window, tz=tz, game=())
+    wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, window, tz=tz, game=())
     spins = revenue.casino_stack(
         _stated(wagers), _stated(free_rounds), _stated(undone), _stated(paid, state=None, wager="parent_id")
     )
@@ -227,11 +232,11 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
     tz = window.tz
     filed = ReportWindow(window.start, window.start + timedelta(days=days), tz)
     players = real_players(tables.users)
-    ledger = in_state(in_window(tables.accounting, "t_changed_at", filed), ONTARIO)
+    ledger = stored_window(tables.accounting, filed, ONTARIO)
     by_account = _of_players(ledger, players, "a_patron_id")
     by_player = _of_players(ledger, players, "p_patron_id")
 
-    free = free_bet_ids(_of_players(in_state(tables.accounting, ONTARIO), players, "a_patron_id"))
+    free = compute_once(free_bet_ids(_of_players(in_state(tables.accounting, ONTARIO), players, "a_patron_id")))
     free_bets = _of_players(tables.bets.where(bet_ops.is_free()), players, "patron_id").select(
         F.col("id").alias("bet_id")
     )
@@ -248,9 +253,7 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
     paid = union_transfers(sports_payouts(paid_rows, tz), settled_first, settled_later)
 
     in_report = ReportWindow(window.start, min(window.end, filed.end), tz)
-    wagers = casino.transfer_to_casino(
-        in_state(tables.accounting, ONTARIO), tables.wager_and_game_info, in_report, tz=tz, game=()
-    )
+    wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, in_report, tz=tz, game=())
     wagers = _of_players(wagers, players, "patron_id")
     payouts = casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz)
     undone = match_legs(

@@ -33,6 +33,14 @@ def test_plan_has_no_nested_loops_or_python(spark, key):
         assert bad not in plan
 
 
+@pytest.mark.parametrize("key", [k for k in QUERIES if k[:3] in ("r01", "r02", "r03", "r04", "r05")])
+def test_report_reads_the_ledger_at_most_three_times(spark, key):
+    spark.conf.set("spark.sql.maxMetadataValueLength", 2000)
+    plan = QUERIES[key](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataValueLength")
+    assert "FileScan" in plan and plan.count("/accounting]") <= 3
+
+
 def test_driver_contract(spark):
     import __spark_entry__ as contract
 
