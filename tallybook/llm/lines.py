@@ -7,11 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.bits import Bits, bitmap
 from tallybook.llm.graph import components
+from tallybook.llm.jaccard import LOG_PART, LOG_SKETCH, _bucket, _levels
 from tallybook.llm.scratch import bytes_of, row_key, slices, stored
 from tallybook.llm.words import _BYTE, Stretches, mix, words
 
@@ -19,6 +21,8 @@ from tallybook.llm.words import _BYTE, Stretches, mix, words
 SHINGLE, SIMILAR, LEAST = 8, 0.8, 10
 #: Bins of a signature: BANDS bands of ROWS. At similarity 0.8 a pair shares a band with probability 0.998.
 BANDS, ROWS = 12, 4
+#: Lines from which a band gets another hub, and hubs that a band gets at most before the rest is joined exactly.
+LONG, HUBS = 16, 4
 #: Lines a task remembers so as not to send them again; only speed depends on it.
 REMEMBERED = 400_000
 
@@ -27,9 +31,8 @@ NEWLINE[0x0A] = True
 _PROBES = np.stack([np.random.default_rng(k).permutation(BANDS * ROWS) for k in range(BANDS * ROWS)])
 
 
-def signatures(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """One-permutation MinHash of the character shingles of each line; empty bins borrow from others in a fixed order."""
-    bins = BANDS * ROWS
+def _hashed_shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the line, hash) of every character shingle of each line; a shorter line is one shingle."""
     at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
     low, high = np.searchsorted(at, start), np.searchsorted(at, end)
     many = np.maximum(high - low - SHINGLE + 1, 1)
@@ -38,7 +41,13 @@ def signatures(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     first = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many, many) + low[line]
     last = np.minimum(first + SHINGLE, high[line])
     base = int(start[0]) if len(start) else 0
-    values = Stretches(_BYTE[data[base : int(end[-1]) if len(end) else 0]])(at[first] - base, at[last] - base)
+    return line, Stretches(_BYTE[data[base : int(end[-1]) if len(end) else 0]])(at[first] - base, at[last] - base)
+
+
+def signatures(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One-permutation MinHash of the character shingles of each line; empty bins borrow from others in a fixed order."""
+    bins = BANDS * ROWS
+    line, values = _hashed_shingles(data, start, end)
     out = np.full(len(start) * bins, np.uint32(0xFFFFFFFF))
     where = line * bins + ((values >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
     np.minimum.at(out, where, values.astype(np.uint32))
@@ -177,13 +186,80 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, place of the line, hash) of the distinct shingles of runs of lines, line by line."""
+    for low, _, data, offsets in slices(column, 1 << 20):
+        line, values = _hashed_shingles(data, offsets[:-1], offsets[1:])
+        order = np.lexsort((values, line))
+        line, values = line[order], values[order]
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (values[1:] != values[:-1])
+        yield low, line[new], values[new]
+
+
+def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of a task's sketch of how many lines hold a shingle."""
+    sketch, some = np.zeros(1 << LOG_SKETCH, np.int64), False
+    for batch in batches:
+        for _, _, values in _sets(batch.column("line")):
+            sketch += np.bincount(_bucket(values), minlength=1 << LOG_SKETCH)
+            some = True
+    if some:
+        parts = sketch.astype("<i8").reshape(-1, 1 << LOG_PART)
+        salt = [TaskContext.get().partitionId() % 64] * len(parts)
+        columns = [pa.array(range(len(parts)), pa.int64()), pa.array(salt, pa.int64()), pa.array([x.tobytes() for x in parts], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["c", "n", "bits"])
+
+
+def _prefixes(levels, similar: float):
+    """(shingle, line, root, shingles of the line, place) of the first shingles of each line, those of few lines before others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, root = (batch.column(k).to_numpy() for k in ("h", "root"))
+            for low, line, values in _sets(batch.column("line")):
+                order = np.lexsort((values, levels.value[_bucket(values)], line))
+                values = values[order]
+                n = np.bincount(line)
+                size = n[line]
+                place = np.arange(len(line)) - (np.cumsum(n) - n)[line]
+                held = np.flatnonzero(place <= size - np.ceil(similar * size - 1e-9))
+                row = low + line[held]
+                columns = [values[held].view(np.int64), h[row], root[row], size[held], place[held]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["t", "h", "root", "n", "i"])
+
+    return run
+
+
+def _rest(texts: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of lines of different roots: all that can be similar. ``texts`` has h, root and line.
+
+    In a common order of the shingles, the first one that two similar lines share leaves both with enough
+    shingles from there on; other places are not joined. What many lines quote stands last in the order, so a
+    long template is joined only where a line consists of little else. Of two lines of one root none is sent:
+    one of a pair is always outside the root that most lines of the shingle have.
+    """
+    levels = texts.sparkSession.sparkContext.broadcast(_levels(texts.select("line").mapInArrow(_weights, "c long, n long, bits binary")))
+    cells = stored(texts.mapInArrow(_prefixes(levels, similar), "t long, h long, root long, n long, i long"))
+    mixed = cells.groupBy("t", "root").agg(F.count(F.lit(1)).alias("rows"))
+    mixed = mixed.groupBy("t").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    need = lambda a, b: f"ceil({similar}D * ({a} + {b}) / {1 + similar}D - 1e-9)"
+    cells = stored(cells.join(mixed.select("t", "main"), "t").withColumn("early", F.expr(f"n - i >= {need('n', 'n')}")))
+    pairs = []
+    for left, right in (("root <> main", "true"), ("true", "root <> main")):
+        x, y = cells.where("early").where(left).alias("x"), cells.where(right).alias("y")
+        both = x.join(y, F.expr(f"x.t = y.t and x.root <> y.root and x.n <= y.n and least(x.n - x.i, y.n - y.i) >= {need('x.n', 'y.n')}"))
+        pairs.append(both.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")))
+    return pairs[0].union(pairs[1]).distinct()
+
+
 def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(line hash, root) of the lines that are like another one. ``texts`` has one column, text.
 
     Signatures are made once and stored. Bands are counted first; only lines of bands that hold two different
-    lines are sent again. In each band all lines are compared with one of them; in a second round, with the
-    lines that are already together taken as one, those that remain are compared with another of their band.
-    No pairs of a band are listed.
+    lines are sent again. In each band all lines are compared with one of them, the hub, which is then done
+    with; long bands get a few hubs, one after the other. Bands whose lines are not all together then give
+    their lines to an exact join, so every similar pair that shares a band ends under one root.
     """
     signed = stored(texts.mapInArrow(_signed, "h long, bands array<long>"))
     once = signed.select("h", F.explode("bands").alias("b")).groupBy("b").agg(F.min("h").alias("low"), F.max("h").alias("high"))
@@ -191,24 +267,33 @@ def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     rows = signed.mapInArrow(_bands(bitmap(once, "b")), "b long, h long").join(once, "b")
     rows = stored(rows.distinct())
     lines = stored(texts.mapInArrow(_texts(bitmap(rows, "h")), "h long, line string").groupBy("h").agg(F.first("line").alias("line")))
-    checked: DataFrame | None = None
-    roots: DataFrame | None = None
-    for k in range(2):
-        placed = rows.withColumn("root", F.col("h"))
-        if roots is not None:
-            placed = rows.join(roots.toDF("h", "root"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-        # the second round takes the line that stands last in a drawn order, of another component than most
-        order = F.struct(F.xxhash64("root", F.lit(k)).alias("o"), F.xxhash64("h", F.lit(k)).alias("p"), F.col("h"), F.col("root"))
-        hub = placed.groupBy("b").agg(F.min(order).alias("m"))
-        pairs = placed.join(hub.select("b", F.col("m.h").alias("to"), F.col("m.root").alias("toroot")), "b")
-        pairs = pairs.where("root <> toroot").select(F.least("h", "to").alias("a"), F.greatest("h", "to").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+
+    def alike(pairs: DataFrame) -> DataFrame:
         full = pairs.join(lines.toDF("a", "la"), "a").join(lines.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
-        edges = stored(full.mapInArrow(_alike(similar), "a long, b long"))
-        checked = edges if checked is None else stored(checked.union(edges))
-        roots = stored(components(checked.toDF("u", "v")))
-    return roots.toDF("h", "root")
+        return stored(full.mapInArrow(_alike(similar), "a long, b long"))
+
+    placed = rows.withColumn("root", F.col("h"))
+    edges: DataFrame | None = None
+    for k in range(HUBS):
+        hub = placed.groupBy("b").agg(F.min(F.struct(F.xxhash64("h", F.lit(k)).alias("o"), "h", "root")).alias("m"))
+        hub = hub.select("b", F.col("m.h").alias("to"), F.col("m.root").alias("toroot"))
+        pairs = placed.join(hub, "b").where("root <> toroot")
+        found = alike(pairs.select(F.least("h", "to").alias("a"), F.greatest("h", "to").alias("b")).distinct())
+        edges = found if edges is None else edges.union(found)
+        roots = stored(components(edges.toDF("u", "v")))
+        # a hub has met all lines of its band; what is left is mixed while two of its lines have different roots
+        left = rows.select("b", "h").join(hub.selectExpr("b", "to as h"), ["b", "h"], "left_anti").join(roots.toDF("h", "root"), "h", "left")
+        left = left.withColumn("root", F.coalesce("root", "h"))
+        mixed = left.groupBy("b").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("lines"))
+        rows = stored(left.join(mixed.where("low <> high").select("b", "lines"), "b").select("b", "h", "root", "lines"))
+        placed = rows.where(F.col("lines") >= LONG)
+        if placed.isEmpty():
+            break
+    rest = stored(rows.select("h", "root").distinct())
+    if rest.isEmpty():
+        return roots.toDF("h", "root")
+    edges = edges.union(alike(_rest(lines.join(rest, "h").select("h", "root", "line"), similar)))
+    return stored(components(edges.toDF("u", "v"))).toDF("h", "root")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, keep: str | None = None) -> DataFrame:
@@ -219,9 +304,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     first by id (null ids last), then by place; the others go. A null text stays null and has no lines, an
     empty one stays empty. A row that repeats an id with another text is told apart by the text; of a row
     that repeats another one wholly both copies are cut alike, so they keep what the first of them keeps. An
-    empty table gives no rows. A pair at similarity 0.8 shares a band with probability 0.998, but within a band
-    lines are compared with two hubs, not with each other, so some pairs stay unseen; lines of which one is
-    over four times as long as the other are never similar. Every removal is backed by a chain of exactly checked pairs.
+    empty table gives no rows. A pair at similarity 0.8 shares a band with probability 0.998, and every similar
+    pair that shares one is found, whatever the size of the band; lines of which one is over four times as long
+    as the other are never similar. Every removal is backed by a chain of exactly checked pairs.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", row_key("id", "text"))
     kind = base.schema["id"].dataType.simpleString()

@@ -152,6 +152,33 @@ def test_one_of_each_group_of_lines_stays(spark, nothing):
     assert lines.dedup(nothing).count() == 0
 
 
+def test_similar_lines_of_a_crowded_template_are_all_found(spark):
+    rng = np.random.default_rng(5)
+    head = "Terms and conditions apply to every order placed through this page, see the notes below for more about: "
+    word = lambda: "".join(chr(97 + k) for k in rng.integers(0, 26, 14))
+    first = [head + word() for _ in range(300)]
+    text = first + [x[:-2] + "##" for x in first]
+    assert lines.similarity(first[0], first[1]) < 0.8 <= lines.similarity(text[0], text[300])
+    root = list(range(len(text)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = [lines._shingles(x) for x in text]
+    for a in range(len(text)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root[top(a)] = top(b)
+    first_of = {}
+    for k in range(len(text)):
+        first_of.setdefault(top(k), k)
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in lines.dedup(docs).collect()}
+    assert got == {k: int(first_of[top(k)] != k) for k in range(len(text))} and sum(got.values()) >= 300
+
+
 def test_bpe_equals_the_tokenizers_library(edge, nothing):
     from tokenizers import Tokenizer
 
