@@ -1,16 +1,14 @@
-"""Near-dedup of vectors by a robust-pruned flat graph over overlapping cluster shards.
+"""Near-dedup of vectors by exact products within overlapping cluster shards.
 
 Equal vectors of a label are one node with a count. Nodes are split into cluster shards until each has a
 bounded number of residents. Where a vector within the link distance could reside in another shard (the
 distance to the boundary between the two centroids is at most that distance), a node may have to visit it;
 of two shards one side visits the other, so a link across a boundary is looked for once and counted for
-both ends. Each shard builds a robust-pruned graph of its residents and visitors, the adjacency lists of a
-node are united over all shards, and every node then searches each of its shards: greedily from the shard's
-medoids and its own list, then outwards over everything near the range. Only residents are found, so a pair
-is counted once however many shards both visit.
+both ends. Each shard multiplies its residents and visitors with its residents, block by block. Only residents
+are found, so a pair is counted once however many shards both visit. No step is approximate.
 
 Exact boundaries hardly part vectors of many dimensions, so shards are as large as a task's memory allows:
-a search costs nearly the same in a large shard, and every split adds visits.
+every split adds visits.
 """
 
 from __future__ import annotations
@@ -30,10 +28,8 @@ LINK = 0.98
 AIM, MOST, FAN, FIT = 4096, 8192, 32, 8192
 #: Visitors that one task takes; with more, the residents are searched in several tasks.
 VISITORS = MOST
-#: Queries that are searched at once.
+#: Rows that are multiplied at once.
 BLOCK = 256
-#: Candidates and edges of a node, pruning factor, beam, entry points, and how far below the range search goes on.
-POOL, DEGREE, ALPHA, BEAM, MEDOIDS, SLACK = 64, 32, 1.2, 16, 4, 0.03
 
 
 def _unit(column: pd.Series) -> np.ndarray:
@@ -83,134 +79,32 @@ def _routes(link: float):
     return run
 
 
-def _pruned(x: np.ndarray) -> list[np.ndarray]:
-    """The robust-pruned neighbours of each vector: near ones first, none that a kept one is much nearer to."""
-    n = len(x)
-    pool = min(POOL, n - 1)
-    lists: list[list[int]] = [[] for _ in range(n)]
-    for low in range(0, n if pool > 0 else 0, 512):
-        near = x[low : low + 512] @ x.T
-        near[np.arange(len(near)), np.arange(low, low + len(near))] = -2
-        some = np.argpartition(-near, pool - 1, axis=1)[:, :pool]
-        for k in range(len(near)):
-            found = some[k][np.argsort(-near[k, some[k]], kind="stable")]
-            away = np.sqrt(np.maximum(0, 2 - 2 * near[k, found]))
-            between = np.sqrt(np.maximum(0, 2 - 2 * x[found] @ x[found].T))
-            open_, kept = np.ones(len(found), bool), []
-            while open_.any() and len(kept) < DEGREE // 2:
-                j = int(open_.argmax())
-                kept.append(int(found[j]))
-                open_[j] = False
-                open_ &= ALPHA * between[j] > away
-            # the nearest few stay in any case, so the range around a vector hangs together
-            kept += [int(j) for j in found[:4] if j not in kept]
-            lists[low + k] += kept
-    back: list[list[int]] = [[] for _ in range(n)]
-    for i, own in enumerate(lists):
-        for j in own:
-            back[j].append(i)
-    return [np.array(list(dict.fromkeys(a + b[: DEGREE // 2])), np.int64) for a, b in zip(lists, back, strict=True)]
-
-
-def _build(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values("c")
-    names = frame["c"].to_numpy()
-    return pd.DataFrame({"c": names, "edges": [names[x].tolist() for x in _pruned(_unit(frame["v"]))]})
-
-
-def search(x: np.ndarray, edges: list[np.ndarray], link: float, asking: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """(vector, those that its search from the medoids found and verified in range), itself left out."""
-    n = len(x)
-    width = max(1, max(map(len, edges), default=1))
-    table = np.full((n, width), -1)
-    for i, own in enumerate(edges):
-        table[i, : len(own)] = own
-    middle = x.mean(axis=0)
-    first = [int((x @ middle).argmax())]
-    for _ in range(min(MEDOIDS, n) - 1):
-        first.append(int((x @ x[first].T).max(axis=1).argmin()))
-    asking = np.arange(n) if asking is None else asking
-    for low in range(0, len(asking), BLOCK):
-        q = asking[low : low + BLOCK]
-        rows = np.arange(len(q))
-        seen, done = np.zeros((2, len(q), n), bool)
-        near = np.full((len(q), n), -2.0, np.float64)
-        start = np.concatenate([np.tile(first, (len(q), 1)), q[:, None]], axis=1)
-        seen[rows[:, None], start] = True
-        near[rows[:, None], start] = np.einsum("qd,qsd->qs", x[q], x[start])
-        beam, value = start, near[rows[:, None], start]
-        for _ in range(4 * BEAM):
-            open_ = np.where((beam >= 0) & ~done[rows[:, None], beam], value, -3)
-            place = open_.argmax(axis=1)
-            live = np.flatnonzero(open_[rows, place] > -2)
-            if not len(live):
-                break
-            pick = beam[live, place[live]]
-            done[live, pick] = True
-            to = np.full((len(q), width), -1)
-            to[live] = table[pick]
-            to[(to >= 0) & seen[rows[:, None], to]] = -1
-            r, j = np.nonzero(to >= 0)
-            seen[r, to[r, j]] = True
-            new = np.full(to.shape, -3.0)
-            new[r, j] = near[r, to[r, j]] = np.einsum("pd,pd->p", x[q[r]], x[to[r, j]])
-            beam, value = np.concatenate([beam, to], axis=1), np.concatenate([value, new], axis=1)
-            if beam.shape[1] > BEAM:
-                best = np.argpartition(-value, BEAM - 1, axis=1)[:, :BEAM]
-                beam, value = beam[rows[:, None], best], value[rows[:, None], best]
-        r, node = np.nonzero((near >= link - SLACK) & ~done)
-        while len(r):
-            done[r, node] = True
-            found = [_visit(x, q, table, r[k : k + 20_000], node[k : k + 20_000], seen, near) for k in range(0, len(r), 20_000)]
-            r, node = (np.concatenate(y) for y in zip(*found, strict=True))
-            wide = near[r, node] >= link - SLACK
-            r, node = r[wide], node[wide]
-        hit = near >= link
-        hit[rows, q] = False
-        for k in rows:
-            yield int(q[k]), np.flatnonzero(hit[k])
-
-
-def _visit(x, q, table, row, node, seen, near) -> tuple[np.ndarray, np.ndarray]:
-    """Looks at the neighbours of ``node`` on behalf of the query in ``row``; gives those not seen before."""
-    to = table[node]
-    k, j = np.nonzero(to >= 0)
-    r, t = row[k], to[k, j]
-    new = ~seen[r, t]
-    pair = np.unique(r[new] * seen.shape[1] + t[new])
-    r, t = pair // seen.shape[1], pair % seen.shape[1]
-    seen[r, t] = True
-    near[r, t] = np.einsum("pd,pd->p", x[q[r]], x[t])
-    return r, t
-
-
 def _found(link: float):
     """Per node of a task: links counted with copies, those with visitors at both ends; and edges that connect what was found."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["c", "home"], ascending=[True, False])
         names, copies, home = frame["c"].to_numpy(), frame["m"].to_numpy(), frame["home"].to_numpy(bool)
-        asks = frame["asks"].to_numpy(bool)
-        place = {c: i for i, c in enumerate(names.tolist())}
-        edges = [np.array([place[c] for c in (e if e is not None else ()) if c in place], np.int64) for e in frame["edges"]]
-        parent = np.arange(len(names))
-
-        def top(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
+        asks, x = frame["asks"].to_numpy(bool), _unit(frame["v"])
+        residents = np.flatnonzero(home)
+        asking, to = np.flatnonzero(asks), x[residents]
+        label = np.arange(len(names))
         count, joined = np.zeros(len(names), np.int64), []
-        for i, hits in search(_unit(frame["v"]), edges, link, np.flatnonzero(asks)):
-            hits = hits[home[hits]]
-            count[i] += copies[hits].sum()
-            if not home[i]:
-                count[hits] += copies[i]
-            roots = {top(int(j)) for j in hits} - {top(i)}
-            for j in roots:
-                joined.append((names[i], names[j]))
-                parent[j] = top(i)
+        for low in range(0, len(asking), BLOCK):
+            q = asking[low : low + BLOCK]
+            near = x[q] @ to.T >= link
+            near &= q[:, None] != residents[None, :]
+            count[q] += near @ copies[residents]
+            visits = ~home[q]
+            count[residents] += copies[q[visits]] @ near[visits]
+            for k in np.flatnonzero(near.any(axis=1)):
+                hits = residents[near[k]]
+                held = label[hits]
+                if (held == label[q[k]]).all():
+                    continue
+                others, one = np.unique(held, return_index=True)
+                joined += [(names[q[k]], names[j]) for j, other in zip(hits[one], others, strict=True) if other != label[q[k]]]
+                label[np.isin(label, others)] = label[q[k]]
         told = asks | (count > 0)
         own = names[told].tolist()
         pairs = [*zip(*joined)] or [(), ()]
@@ -281,8 +175,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Two rows link when labels are equal and not null and their cosine, in doubles, is at least ``link``.
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do
     vectors of different lengths. ``n_links`` counts the other rows found, copies included; ``component_id``
-    is the smallest id reachable by links, itself included. Every link reported is verified; the search may
-    miss some, ``audit`` measures how many. Rows that repeat link with each other. An empty table gives no rows.
+    is the smallest id reachable by links, itself included. All links are found, ``audit`` checks a sample of
+    them. Rows that repeat link with each other. An empty table gives no rows.
     """
     rows, nodes = _nodes(vectors, id_col, vector_col, label_col)
     shards = _shards(nodes, link)
@@ -292,9 +186,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     own = F.pmod(F.xxhash64("c"), F.col("tasks")).cast("int")
     tasks = tasks.withColumn("task", F.explode(F.when(F.col("home"), F.sequence(F.lit(0), F.col("tasks") - 1)).otherwise(F.array(own))))
     tasks = stored(tasks.select("shard", "task", "c", "m", "v", "home", (~F.col("home") | (F.col("task") == 0)).alias("asks")))
-    lists = tasks.select("shard", "task", "c", "v").groupBy("shard", "task").applyInPandas(_build, "c long, edges array<long>")
-    lists = lists.groupBy("c").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges"))
-    found = tasks.join(lists, "c").groupBy("shard", "task").applyInPandas(_found(link), "c long, links long, u long, v long")
+    found = tasks.groupBy("shard", "task").applyInPandas(_found(link), "c long, links long, u long, v long")
     found = stored(found)
     links = found.where("c is not null").groupBy("c").agg(F.sum("links").alias("links"))
     roots = components(found.where("u is not null").select("u", "v")).toDF("c", "root")

@@ -252,6 +252,18 @@ def test_vector_links_across_shards_count_at_both_ends(spark, monkeypatch):
     assert {i: got[i].component_id for i in got} == dict(enumerate(least.tolist()))
 
 
+def test_vectors_of_neighbouring_clumps_all_link(spark):
+    rng = np.random.default_rng(8)
+    middle = np.eye(64)[0] + 0.1 * np.eye(64)[1:13]
+    x = np.repeat(middle, 70, axis=0) + rng.normal(size=(840, 64)) * 0.002
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = y @ y.T
+    assert near[:70, :70].min() > near[:70, 70:].max() and near.min() >= 0.98
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = vectors.near_duplicates(table).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(839, 0)} and len(got) == 840
+
+
 def test_warc_round_trip_and_salvage(spark, tmp_path):
     long = "é<p>" * 200
     rows = [(3, "u3", long), (1, "u\r\n1", long), (2, None, "tiny"), (4, "u4", "tiny"), (5, "u5", None), (5, "u5", None), (6, "u6", "WARC/1.1\r\n\r\n")]
