@@ -17,7 +17,7 @@ from tallybook.llm.jaccard import LOG_PART, LOG_SKETCH, _bucket, _levels
 from tallybook.llm.scratch import bytes_of, row_key, slices, stored
 from tallybook.llm.words import _BYTE, Stretches, mix, words
 
-#: Characters of a shingle, Jaccard similarity of fuzzy lines, and bytes from which a line is compared at all.
+#: Characters of a shingle, Jaccard similarity of fuzzy lines, and bytes from which a line is compared unless the caller says so.
 SHINGLE, SIMILAR, LEAST = 8, 0.8, 10
 #: Bins of a signature: BANDS bands of ROWS. At similarity 0.8 a pair shares a band with probability 0.998.
 BANDS, ROWS = 12, 4
@@ -78,7 +78,8 @@ def _new_lines(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for _, _, data, offsets in slices(batch.column("text"), 1 << 20):
             w = words(data, offsets, gaps=NEWLINE)
-            fit = np.flatnonzero(w.end - w.start >= LEAST)
+            # a shorter line is one shingle that only equal lines have, so its hash is enough
+            fit = np.flatnonzero(w.end - w.start >= SHINGLE)
             _, one = np.unique(w.hashes[fit], return_index=True)
             fit = fit[np.sort(one)]
             fit = fit[[h not in seen for h in w.hashes[fit].tolist()]] if len(fit) else fit
@@ -136,29 +137,31 @@ def _alike(similar: float):
             left, right = batch.column("la").to_pylist(), batch.column("lb").to_pylist()
             keep = []
             for a, b in zip(left, right, strict=True):
-                many, few = max(len(a), len(b)), min(len(a), len(b))
-                keep.append(a == b or (few * 4 >= many and similarity(a, b) >= similar))
+                keep.append(a == b or similarity(a, b) >= similar)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, keys = batch.column("id"), batch.column("key").to_numpy()
-        for low, _, data, offsets in slices(batch.column("text")):
-            w = words(data, offsets, gaps=NEWLINE)
-            fit = np.flatnonzero(w.end - w.start >= LEAST)
-            doc = w.doc[fit]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(w.hashes[fit].view(np.int64)),
-                    ids.take(pa.array(low + doc)),
-                    pa.array(keys[low + doc]),
-                    pa.array((fit - w.first[doc]).astype(np.int32)),
-                ],
-                names=["h", "id", "key", "at"],
-            )
+def _places(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = batch.column("id"), batch.column("key").to_numpy()
+            for low, _, data, offsets in slices(batch.column("text")):
+                w = words(data, offsets, gaps=NEWLINE)
+                fit = np.flatnonzero(w.end - w.start >= least)
+                doc = w.doc[fit]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(w.hashes[fit].view(np.int64)),
+                        ids.take(pa.array(low + doc)),
+                        pa.array(keys[low + doc]),
+                        pa.array((fit - w.first[doc]).astype(np.int32)),
+                    ],
+                    names=["h", "id", "key", "at"],
+                )
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,22 +299,21 @@ def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return stored(components(edges.toDF("u", "v"))).toDF("h", "root")
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, keep: str | None = None) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, keep: str | None = None, least: int = LEAST) -> DataFrame:
     """One row per row of ``docs``: id, n_lines, n_removed, kept_text, kept_sha256, and the column ``keep`` if named.
 
-    Lines are parted by line feeds; empty ones are not counted and stay. Lines of at least ten bytes are
-    compared by their 8-character shingles. Of each component of equal or similar lines one line is kept, the
+    Lines are parted by line feeds; empty ones are not counted and stay. Lines of at least
+    ``least`` bytes are compared by their 8-character shingles, shorter ones stay; 1 takes every line. Of each component of equal or similar lines one line is kept, the
     first by id (null ids last), then by place; the others go. A null text stays null and has no lines, an
     empty one stays empty. A row that repeats an id with another text is told apart by the text; of a row
     that repeats another one wholly both copies are cut alike, so they keep what the first of them keeps. An
     empty table gives no rows. A pair at similarity 0.8 shares a band with probability 0.998, and every similar
-    pair that shares one is found, whatever the size of the band; lines of which one is over four times as long
-    as the other are never similar. Every removal is backed by a chain of exactly checked pairs.
+    pair that shares one is found, whatever the size of the band. Every removal is backed by a chain of exactly checked pairs.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", row_key("id", "text"))
     kind = base.schema["id"].dataType.simpleString()
     roots = similar_lines(base.select("text"), similar)
-    places = stored(base.mapInArrow(_places, f"h long, id {kind}, key long, at int"))
+    places = stored(base.mapInArrow(_places(least), f"h long, id {kind}, key long, at int"))
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"), F.col("at"))
     lines = places.groupBy("h").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
     lines = lines.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))

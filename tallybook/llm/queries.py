@@ -45,7 +45,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup(_table(spark, sf_dir, "documents"))
+    out = lines.dedup(_table(spark, sf_dir, "documents"), least=1)
     return out.select("doc_id", "n_lines", "n_removed", "kept_sha256")
 
 

@@ -179,6 +179,15 @@ def test_similar_lines_of_a_crowded_template_are_all_found(spark):
     assert got == {k: int(first_of[top(k)] != k) for k in range(len(text))} and sum(got.values()) >= 300
 
 
+def test_short_and_repeated_character_lines_go(spark, tmp_path):
+    from tallybook.llm.queries import op5_line_dedup
+
+    rows = [(1, "Menu\nabc\n" + "-" * 10), (2, "Menu\nabd\n" + "-" * 60), (3, "abc\n" + "-" * 8)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_removed for r in op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 2, 3: 2}
+
+
 def test_bpe_equals_the_tokenizers_library(edge, nothing):
     from tokenizers import Tokenizer
 
