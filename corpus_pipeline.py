@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that are like an earlier one; documents that lose every line go."""
     row = F.struct("doc_id", "lang", "source").alias("row")
     cut = lines.dedup(docs.select("doc_id", "text", row), keep="row", least=1)
-    kept = cut.where(F.length(F.trim("kept_text")) > 0)
+    kept = cut.where(F.col("kept_text").rlike(r"\S"))
     return kept.select(
         "doc_id", F.col("kept_text").alias("text"), "row.lang", "row.source", F.length("kept_text").cast("long").alias("n_chars")
     )

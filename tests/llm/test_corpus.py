@@ -311,3 +311,12 @@ def test_pipeline_stages_keep_the_columns_and_the_clean(spark):
         docs = corpus_pipeline.scratch.stored(stage(spark, docs, SF))
         assert k == 4 or docs.columns == list(corpus_pipeline.COLUMNS)
     assert 0.8 * before <= docs.count() <= before
+
+
+def test_pipeline_drops_documents_left_with_blank_lines(spark):
+    import corpus_pipeline
+
+    rows = [(1, "the same line of text", "en", "a"), (2, "the same line of text\n\n\n", "en", "a"), (3, "\n\nanother one", "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert got == {1: rows[0][1], 3: rows[2][1]}
