@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bpe, decontam, jaccard, langid, lines, packing, quality, scratch, substring, vectors, warc
+from tallybook.llm import align, bpe, decontam, jaccard, langid, lines, packing, quality, scratch, spelling, substring, tiers, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +84,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align.align(_table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiers.pack(_table(spark, sf_dir, "documents"), BYTE_LEVEL)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -93,6 +108,9 @@ QUERIES = {
     "op8_vector_dedup": op8_vector_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
+    "op11_alignment": op11_alignment,
+    "op12_packing": op12_packing,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = {}
