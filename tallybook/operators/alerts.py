@@ -28,9 +28,13 @@ TWELVE_MONTH_DEPOSIT = 100_000_00
 # ----------------------------------------------------------------------------------------------
 
 
-def deposit_postings(ledger: DataFrame) -> DataFrame:
+def is_deposit() -> Column:
     """Customer-side postings that count as deposits for monitoring."""
-    return ledger.where(on_customer("deposit") | wire(WIRE_DEPOSIT, AML_WIRE_REASONS))
+    return on_customer("deposit") | wire(WIRE_DEPOSIT, AML_WIRE_REASONS)
+
+
+def deposit_postings(ledger: DataFrame) -> DataFrame:
+    return ledger.where(is_deposit())
 
 
 def per_transaction(postings: DataFrame, by: Sequence[str | Column]) -> DataFrame:
@@ -186,6 +190,7 @@ def withdrawal_activity(
     cut_credits: bool = False,
     prefix: str = "",
     wire_ledger: DataFrame | None = None,
+    credit_ledger: DataFrame | None = None,
     collapse: bool = False,
 ) -> DataFrame:
     """Withdrawals per player, by month or of all time: matched legs and wires.
@@ -194,7 +199,8 @@ def withdrawal_activity(
     ``collapse`` adds them up instead. With a driver (patron_id, times) wires count once per
     driver row, matched withdrawals only if ``weigh_matched``. The driver cuts the debit legs;
     the house's credit legs, which may name no player, only with ``cut_credits``.
-    ``wire_ledger`` is given where wires are read over a wider period than matched withdrawals.
+    ``wire_ledger`` is given where wires are read over a wider period than matched withdrawals,
+    ``credit_ledger`` where the credit legs are in a frame of their own.
     """
     month = ["transaction_period"] if by_month else []
 
@@ -202,7 +208,8 @@ def withdrawal_activity(
         return [bucket(to_local(ts, tz), "month").alias("transaction_period")] if by_month else []
 
     keys = ["ledger_transaction_id", "cents"]
-    credits = driven(ledger_legs(ledger, WITHDRAWALS, "credit"), players if cut_credits else None)
+    house = credit_ledger if credit_ledger is not None else ledger
+    credits = driven(ledger_legs(house, WITHDRAWALS, "credit"), players if cut_credits else None)
     partners = credits.groupBy(*keys).agg(F.count(F.lit(1)).alias("_partners"))
     debits = driven(ledger_legs(ledger, WITHDRAWALS, "debit"), players).join(partners, keys)
     weight = F.col("_partners") * (F.col("times") if weigh_matched else F.lit(1))

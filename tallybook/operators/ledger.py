@@ -23,6 +23,7 @@ SPORTS_PAYOUT_TYPES = ("sportsbook_cash_out_bet", "sportsbook_payout", "sportsbo
 AMENDMENT_TYPES = ("amendment", "amendment_rg")
 CANCELLED_WITHDRAWAL_TYPES = ("withdrawal_cancellation", "withdrawal_decline")
 BONUS_RELEASE_TYPES = ("bonus_offer_payout", "bonus_offer_revoked", "cash_deposit")
+FREE_BET_TYPE = "sportsbook_free_bet"
 WIRE_REASON = "9998"
 AML_WIRE_REASONS = ("9998", "9990")
 WIRE_DEPOSIT = '"cash_deposit"'
@@ -80,7 +81,7 @@ def flag_promo(ledger: DataFrame, ids: DataFrame) -> DataFrame:
     return joined.withColumn("is_promo", F.col("_promo_bet").isNotNull()).drop("_bet_key", "_promo_bet")
 
 
-def free_bet_ids(ledger: DataFrame, p_type: str = "sportsbook_free_bet") -> DataFrame:
+def free_bet_ids(ledger: DataFrame, p_type: str = FREE_BET_TYPE) -> DataFrame:
     """Bets that were posted as free bets (B10, ledger form)."""
     return ledger.where(F.col("p_type") == p_type).select(bet_id().alias("bet_id")).distinct()
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,15 +13,22 @@ from tallybook.functions.periods import ReportWindow, bucket, in_window, to_loca
 from tallybook.lineage import compute_once
 from tallybook.operators import alerts, revenue
 from tallybook.operators import bets as bet_ops
+from tallybook.operators.cuts import player_postings, reached_postings
 from tallybook.operators.ledger import (
+    AML_WIRE_REASONS,
     SPORTS_AND_CASINO_BETS,
     SPORTS_PAYOUT_TYPES,
+    WIRE_WITHDRAWAL,
+    WITHDRAWALS,
     free_bet_ids,
     free_bet_ids_posted,
+    on_customer,
+    wire,
 )
 from tallybook.operators.markets import bet_and_market_info
 from tallybook.operators.profiles import enrich, payment_profile, ratio
 from tallybook.operators.settlement import (
+    RESETTLEMENT_TYPES,
     first_settlement,
     resettlement,
     resettlement_rollup,
@@ -32,6 +41,13 @@ PAYOUT_TYPES = (*SPORTS_PAYOUT_TYPES, "casino_payout")
 PERIOD = "transaction_period"
 
 
+def _monitored() -> Column:
+    """Postings that any flow of these reports reads."""
+    legs = [pair.is_leg(side) for pair in (WITHDRAWALS, SPORTS_AND_CASINO_BETS) for side in ("debit", "credit")]
+    flows = alerts.is_deposit() | wire(WIRE_WITHDRAWAL, AML_WIRE_REASONS) | on_customer(*PAYOUT_TYPES)
+    return reduce(Column.__or__, legs, flows | F.col("p_type").isin(*RESETTLEMENT_TYPES))
+
+
 def _weighted(rows: DataFrame, players: DataFrame, on: bool = True) -> DataFrame:
     """Rows of the driver's players; cents count once per driver row if ``on``."""
     mine = alerts.driven(rows, players)
@@ -63,10 +79,14 @@ def high_value_deposits(
     single: int = alerts.SINGLE_DEPOSIT,
     aggregate: int = alerts.AGGREGATE_DEPOSIT,
     lifetime_floor: int = alerts.LIFETIME_FLOOR,
+    free_bets: DataFrame | None = None,
     collapse: bool = False,
 ) -> DataFrame:
     """Players with one large or several adding-up deposits in a month of the window.
 
+    The ledger is read three times: for the driver, for the postings of its players, and for the house's legs
+    of their transactions with the ids of free bets, unless ``free_bets`` (bet_id) are given.
+
     ``collapse`` gives one row per alert where the reference repeats it for a player with both
     matched and wire withdrawals.
     """
@@ -82,7 +102,9 @@ def high_value_deposits(
     # the driver cuts every later frame, so it is found once; alerts of any month repeat the amounts joined to them, so the counts come before the cut
     players = alerts.driver_counts(report)
     report = report.where(window.holds_local(PERIOD))
-    ledger = tables.accounting
+    mine = player_postings(tables.accounting, players, _monitored())
+    house = reached_postings(tables.accounting, mine, (SPORTS_AND_CASINO_BETS, WITHDRAWALS), free_bets=free_bets is None)
+    free = free_bets if free_bets is not None else free_bet_ids(house)
 
     settled = bet_ops.bet_activity(
         alerts.driven(tables.bets, players),
@@ -94,16 +116,15 @@ def high_value_deposits(
     )
     # who is on the report matters, not how often
     once = players.withColumn("times", F.lit(1).cast("bigint"))
-    taken = alerts.withdrawal_activity(ledger, tz=tz, by_month=True, players=once, collapse=collapse)
+    taken = alerts.withdrawal_activity(mine, tz=tz, by_month=True, players=once, credit_ledger=house, collapse=collapse)
     lt_taken = alerts.withdrawal_activity(
-        ledger, tz=tz, by_month=False, players=once, prefix="lt_", collapse=collapse
+        mine, tz=tz, by_month=False, players=once, prefix="lt_", credit_ledger=house, collapse=collapse
     )
-    lt_given = alerts.lifetime_deposits(ledger, once, floor=lifetime_floor).drop("ranks")
+    lt_given = alerts.lifetime_deposits(mine, once, floor=lifetime_floor).drop("ranks")
 
-    mine = ledger.join(players.select(F.col("patron_id").alias("a_patron_id")), "a_patron_id", "left_semi")
     stack = revenue.sports_stack(
         union_transfers(
-            _per_second(cash_bets(mine, free_bet_ids(ledger), tz, SPORTS_AND_CASINO_BETS, credits=ledger)),
+            _per_second(cash_bets(mine, free, tz, SPORTS_AND_CASINO_BETS, credits=house)),
             _per_second(_weighted(bet_ops.free_bets_wagered(tables.bets, None, tz=tz), players, False)),
         ),
         _per_second(_weighted(bet_ops.voided(tables.bets, None, tz=tz), players, False)),
@@ -193,14 +214,15 @@ def non_earning_occupation(
     """Players whose deposits of a month reach the floor, with their activity.
 
     ``rolling`` adds the six- and twelve-month look-backs and keeps players over either (R12).
-    Frames joined to the driver row by row in the reference count once per driver row here too.
+    Frames joined to the driver row by row in the reference count once per driver row here too. The ledger
+    is read three times: for the driver, for the postings of its players, and for the bets posted in the window.
     """
     tz = window.tz
     ledger = tables.accounting
     # the driver cuts every later frame, so it is found once
     report = compute_once(alerts.monthly_depositors(ledger, tables.users, window, DRIVER_ATTRS, floor=floor))
     players = alerts.driver_counts(report)
-    mine = ledger.join(players.select(F.col("patron_id").alias("a_patron_id")), "a_patron_id", "left_semi")
+    mine = player_postings(ledger, players, _monitored())
     period = in_window(mine, "t_changed_at", window)
 
     bets = alerts.driven(tables.bets, players)
@@ -221,15 +243,15 @@ def non_earning_occupation(
         players=players,
         weigh_matched=True,
         cut_credits=True,
-        wire_ledger=ledger,
+        wire_ledger=mine,
         prefix="lt_",
         collapse=collapse,
     )
-    lt_given = alerts.lifetime_deposits(ledger, players, floor=floor).drop("ranks")
+    lt_given = alerts.lifetime_deposits(mine, players, floor=floor).drop("ranks")
 
     own_bets = tables.bets.join(players, "patron_id", "left_semi")
-    free = free_bet_ids_posted(own_bets, ledger, window)
-    first = first_settlement(ledger, tables.bet_states, window, tz=tz)
+    free = compute_once(free_bet_ids_posted(own_bets, ledger, window))
+    first = first_settlement(mine, tables.bet_states, window, tz=tz)
     stack = revenue.sports_stack(
         union_transfers(
             _per_second(cash_bets(period, free, tz, SPORTS_AND_CASINO_BETS)),
@@ -254,7 +276,7 @@ def non_earning_occupation(
         (ggr, ["patron_id"]),
     ]
     if rolling:
-        over = alerts.rolling_alerts(ledger, players, window, six=six, twelve=twelve)
+        over = alerts.rolling_alerts(mine, players, window, six=six, twelve=twelve)
         report = report.join(over, "patron_id")
     wide = enrich(report.where(window.holds_local(PERIOD)) if not rolling else report, frames)
     look_back = (
