@@ -13,7 +13,7 @@ from tallybook.operators.ledger import (
     WIRE_DEPOSIT,
     WIRE_WITHDRAWAL,
     WITHDRAWALS,
-    ledger_legs,
+    matched,
     on_customer,
     wire,
 )
@@ -207,21 +207,23 @@ def withdrawal_activity(
     def period(ts: str) -> list[Column]:
         return [bucket(to_local(ts, tz), "month").alias("transaction_period")] if by_month else []
 
-    keys = ["ledger_transaction_id", "cents"]
-    house = credit_ledger if credit_ledger is not None else ledger
-    credits = driven(ledger_legs(house, WITHDRAWALS, "credit"), players if cut_credits else None)
-    partners = credits.groupBy(*keys).agg(F.count(F.lit(1)).alias("_partners"))
-    debits = driven(ledger_legs(ledger, WITHDRAWALS, "debit"), players).join(partners, keys)
-    weight = F.col("_partners") * (F.col("times") if weigh_matched else F.lit(1))
-    matched = debits.groupBy(*period("posted_at"), "patron_id", "ref_id").agg(
-        F.sum(F.col("cents") * weight).alias("cents")
-    )
+    def cut(rows: DataFrame) -> DataFrame:
+        return rows if players is None else rows.join(players.select(F.col("patron_id").alias("a_patron_id")), "a_patron_id", "left_semi")
+
+    if credit_ledger is None and (players is None or cut_credits):
+        house = None
+    else:
+        house = credit_ledger if credit_ledger is not None else ledger
+        house = cut(house) if cut_credits else house
+    taken = matched(cut(ledger), WITHDRAWALS, [*period("posted_at"), "patron_id", "ref_id"], credits=house)
+    weight = F.col("times") if weigh_matched else F.lit(1)
+    taken = driven(taken, players).withColumn("cents", F.col("cents") * weight).drop("times")
     wires = (wire_ledger if wire_ledger is not None else ledger).where(wire(WIRE_WITHDRAWAL, AML_WIRE_REASONS))
     wires = driven(wires.withColumnRenamed("a_patron_id", "patron_id"), players)
     wired = wires.groupBy(
         *period("t_changed_at"), "patron_id", F.col("patron_transaction_id").alias("ref_id")
     ).agg(F.sum((F.col("debit_cents") - F.col("credit_cents")) * F.col("times")).alias("cents"))
-    both = matched.withColumn("_kind", F.lit(0)).unionByName(wired.withColumn("_kind", F.lit(1)))
+    both = taken.withColumn("_kind", F.lit(0)).unionByName(wired.withColumn("_kind", F.lit(1)))
     if collapse:
         both = both.groupBy(*month, "patron_id", "ref_id").agg(F.sum("cents").alias("cents"))
         both = both.withColumn("_kind", F.lit(0))

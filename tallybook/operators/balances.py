@@ -16,8 +16,7 @@ from tallybook.operators.ledger import (
     deposit_flows,
     in_state,
     ledger_flows,
-    ledger_legs,
-    match_legs,
+    matched,
     withdrawal_flows,
     Flow,
 )
@@ -90,11 +89,7 @@ def cancelled_withdrawals(ledger: DataFrame, window: ReportWindow, *, tz: str, s
 
 
 def _matched_by_player(rows: DataFrame, pair, tz: str) -> DataFrame:
-    return match_legs(
-        ledger_legs(rows, pair, "debit"),
-        ledger_legs(rows, pair, "credit"),
-        [to_local("posted_at", tz).alias("ts"), "patron_id"],
-    )
+    return matched(rows, pair, [to_local("posted_at", tz).alias("ts"), "patron_id"])
 
 
 def cash_adjustments(ledger: DataFrame, window: ReportWindow, *, tz: str, state: str | None = None) -> DataFrame:

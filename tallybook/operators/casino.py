@@ -13,8 +13,7 @@ from tallybook.operators.ledger import (
     CASINO_WAGERS,
     CUSTOMER_LIABILITY,
     ONTARIO,
-    ledger_legs,
-    match_legs,
+    matched,
     net_movement,
 )
 
@@ -40,9 +39,7 @@ def transfer_to_casino(
 ) -> DataFrame:
     """Cash wagers per transaction with their game."""
     rows = in_window(ledger, "t_changed_at", window)
-    debits = ledger_legs(rows, CASINO_WAGERS, "debit", extra)
-    credits = ledger_legs(rows, CASINO_WAGERS, "credit", extra)
-    wagers = match_legs(debits, credits, [to_local("posted_at", tz).alias("ts"), "patron_id", "ref_id", *extra])
+    wagers = matched(rows, CASINO_WAGERS, [to_local("posted_at", tz).alias("ts"), "patron_id", "ref_id", *extra], extra)
     if not game:
         return wagers
     joined = with_game(wagers, wager_info, game)
@@ -91,10 +88,7 @@ def matched_rollbacks(
     ledger: DataFrame, *, by: Sequence[str | Column], credits: DataFrame | None = None
 ) -> DataFrame:
     """Rollbacks as matched ledger legs (B20, ledger form); ``credits`` where only debits are cut to a window."""
-    other = ledger if credits is None else credits
-    return match_legs(
-        ledger_legs(ledger, CASINO_ROLLBACKS, "debit"), ledger_legs(other, CASINO_ROLLBACKS, "credit"), by
-    )
+    return matched(ledger, CASINO_ROLLBACKS, by, credits=credits)
 
 
 def free_rounds_wagered(

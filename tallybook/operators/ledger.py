@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.periods import ReportWindow, in_window, to_local
@@ -164,40 +164,77 @@ def match_legs(debits: DataFrame, credits: DataFrame, by: Sequence[str | Column]
     return matched.groupBy(*by).agg(F.sum(F.col("cents") * F.col("_partners")).alias("cents"))
 
 
-def matched_transfers(
-    ledger: DataFrame, pairs: Mapping[str, LegPair], tz: str, keep: Sequence[str] = ()
+def paired_legs(
+    ledger: DataFrame, pairs: Mapping[str, LegPair], extra: Sequence[str] = (), credits: DataFrame | None = None
 ) -> DataFrame:
-    """Several kinds of matched transfers from two passes over the ledger, one per side.
+    """Distinct legs of both sides of every pair with a positive amount, side by side with their partners.
 
-    ``ledger`` is already cut to the wanted window and players; ``keep`` names ``also`` columns
-    to report. Returns (flow, ts, patron_id, ref_id, *keep, cents).
+    One pass over the ledger and one exchange by ledger transaction serve the distinct here and the matching
+    later, whatever the number of pairs. ``credits`` is given where the credit legs come from another frame
+    than the debit legs. A leg without a transaction matches nothing and is left out, so it can't gather in one
+    task. Returns (flow, is_debit, ref_id, ledger_transaction_id, patron_id, account, cents, posted_at, the
+    ``also`` columns of the pairs, *extra).
     """
     also = list(dict.fromkeys(c for pair in pairs.values() for c in pair.also))
 
-    def tagged(side: str) -> DataFrame:
+    def of(rows: DataFrame, sides: Sequence[str]) -> DataFrame:
         hits, anything = [], F.lit(False)
         for flow, pair in pairs.items():
-            anything |= pair.is_leg(side)
             told_apart = [(F.col(c) if c in pair.also else F.lit(None).cast("string")).alias(c) for c in also]
-            hit = F.struct(F.lit(flow).alias("flow"), pair.ref_column().alias("ref_id"), *told_apart)
-            hits.append(F.when(pair.is_leg(side), hit))
-        rows = ledger.where((F.col(f"{side}_cents") > 0) & anything)
-        rows = rows.select(
-            F.explode(F.array_compact(F.array(*hits))).alias("_hit"),
+            for side in sides:
+                holds = pair.is_leg(side) & (F.col(f"{side}_cents") > 0)
+                anything |= holds
+                hit = F.struct(
+                    F.lit(flow).alias("flow"),
+                    F.lit(side == "debit").alias("is_debit"),
+                    pair.ref_column().alias("ref_id"),
+                    F.col(f"{side}_cents").alias("cents"),
+                    *told_apart,
+                )
+                hits.append(F.when(holds, hit))
+        own = ("ledger_transaction_id", "a_patron_id", "a_type", "t_changed_at", *extra)
+        rows = rows.where(anything & F.col("ledger_transaction_id").isNotNull())
+        return rows.select(F.explode(F.array_compact(F.array(*hits))).alias("_hit"), *own).select(
+            "_hit.*",
             "ledger_transaction_id",
             F.col("a_patron_id").alias("patron_id"),
             F.col("a_type").alias("account"),
-            F.col(f"{side}_cents").alias("cents"),
             F.col("t_changed_at").alias("posted_at"),
+            *extra,
         )
-        return rows.select("_hit.*", *rows.columns[1:]).distinct()
-
-    keys = ["flow", "ledger_transaction_id", "cents"]
-    partners = tagged("credit").groupBy(*keys).agg(F.count(F.lit(1)).alias("_partners"))
-    matched = tagged("debit").join(partners, keys, "inner")
-    return matched.groupBy(
-        "flow", to_local("posted_at", tz).alias("ts"), "patron_id", "ref_id", *keep
-    ).agg(F.sum(F.col("cents") * F.col("_partners")).alias("cents"))
+
+    legs = of(ledger, ("debit", "credit")) if credits is None else of(ledger, ("debit",)).union(of(credits, ("credit",)))
+    return legs.repartition("ledger_transaction_id").distinct()
+
+
+def match_pairs(legs: DataFrame, by: Sequence[str | Column]) -> DataFrame:
+    """Paired legs matched within transaction and amount, the debits summed by keys.
+
+    Equal amounts match many-to-many; every debit is weighted by the credits it meets. The legs are already
+    together, so nothing is exchanged before the sums.
+    """
+    together = Window.partitionBy("flow", "ledger_transaction_id", "cents")
+    met = legs.withColumn("_partners", F.sum(F.when(F.col("is_debit"), 0).otherwise(1)).over(together))
+    matched = met.where(F.col("is_debit") & (F.col("_partners") > 0))
+    return matched.groupBy(*by).agg(F.sum(F.col("cents") * F.col("_partners")).alias("cents"))
+
+
+def matched(
+    ledger: DataFrame, pair: LegPair, by: Sequence[str | Column], extra: Sequence[str] = (), credits: DataFrame | None = None
+) -> DataFrame:
+    """Matched transfers of one kind, summed by keys (B06 and B07 in one pass)."""
+    return match_pairs(paired_legs(ledger, {"": pair}, extra, credits), by)
+
+
+def matched_transfers(
+    ledger: DataFrame, pairs: Mapping[str, LegPair], tz: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Several kinds of matched transfers from one pass over the ledger.
+
+    ``ledger`` is already cut to the wanted window and players; ``keep`` names ``also`` columns
+    to report. Returns (flow, ts, patron_id, ref_id, *keep, cents).
+    """
+    return match_pairs(paired_legs(ledger, pairs), ["flow", to_local("posted_at", tz).alias("ts"), "patron_id", "ref_id", *keep])
 
 
 def net_movement(rows: DataFrame, by: Sequence[str | Column], *, flip: bool = False) -> DataFrame:

@@ -22,8 +22,7 @@ from tallybook.operators.ledger import (
     exclude,
     free_bet_ids,
     in_state,
-    ledger_legs,
-    match_legs,
+    matched,
     net_movement,
     on_customer,
     real_players,
@@ -54,10 +53,8 @@ def cash_bets(
         rows = rows.where(F.col(pair.type_column).isin(*pair.types)).withColumn("_bet", bet_id())
         return exclude(rows, free, "_bet", "bet_id").drop("_bet")
 
-    debits = staked(ledger)
     by = [to_local("posted_at", tz).alias("ts"), "patron_id", F.col("ref_id").alias("bet_id")]
-    other = debits if credits is None else staked(credits)
-    return match_legs(ledger_legs(debits, pair, "debit"), ledger_legs(other, pair, "credit"), by)
+    return matched(staked(ledger), pair, by, credits=None if credits is None else staked(credits))
 
 
 def sports_payouts(ledger: DataFrame, tz: str, p_types=SPORTS_PAYOUT_TYPES) -> DataFrame:
@@ -256,11 +253,7 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
     wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, in_report, tz=tz, game=())
     wagers = _of_players(wagers, players, "patron_id")
     payouts = casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz)
-    undone = match_legs(
-        ledger_legs(by_player, CASINO_ROLLBACKS_BY_ID, "debit"),
-        ledger_legs(any_day, CASINO_ROLLBACKS_BY_ID, "credit"),
-        [to_local("posted_at", tz).alias("ts")],
-    )
+    undone = matched(by_player, CASINO_ROLLBACKS_BY_ID, [to_local("posted_at", tz).alias("ts")], credits=any_day)
 
     model = compute_once(jackpots_from_history(tables, window.end_utc))
     named = tables.wager_and_game_info.select(F.col("patron_transaction_id").alias("ref_id"), "game_name")

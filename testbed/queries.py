@@ -22,7 +22,7 @@ from tallybook.operators.ledger import (
     free_bet_ids_posted,
     in_state,
     ledger_legs,
-    match_legs,
+    matched,
     net_movement,
     on_customer,
     only,
@@ -144,12 +144,7 @@ def b06_ledger_legs(t):
 
 @query
 def b07_match_legs(t):
-    rows = _in_period(t)
-    return match_legs(
-        ledger_legs(rows, SPORTS_BETS, "debit"),
-        ledger_legs(rows, SPORTS_BETS, "credit"),
-        [to_local("posted_at", TZ).alias("ts"), "patron_id", "ref_id"],
-    )
+    return matched(_in_period(t), SPORTS_BETS, [to_local("posted_at", TZ).alias("ts"), "patron_id", "ref_id"])
 
 
 @query
