@@ -13,6 +13,15 @@ TORONTO = "America/Toronto"
 NTZ = "timestamp_ntz"
 
 
+#: Marks of a day column: the timestamp column whose day it holds, and the zone of that day.
+DAYS_OF, ZONE = "days_of", "zone"
+
+
+def in_zone(utc: datetime, tz: str) -> datetime:
+    """A UTC wall clock in another zone."""
+    return utc.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(tz)).replace(tzinfo=None)
+
+
 def moment(value: datetime | str) -> Column:
     """A zone-free timestamp literal; Catalyst folds it, so it still reaches the scan."""
     text = value if isinstance(value, str) else value.isoformat(sep=" ")
@@ -81,16 +90,17 @@ def in_window(
 ) -> DataFrame:
     """Keep the rows whose UTC timestamp falls in the window; None keeps all.
 
-    A table laid out by UTC day carries the column ``<ts>_day``; the same bounds are then
-    also stated on it, so whole directories are pruned before any file is opened.
+    A table whose catalog declares a layout by day carries the day as a column marked so; the same bounds
+    are then also stated on it, in the layout's zone, and whole directories are pruned before a file is opened.
     """
     if window is None:
         return df
     kept = df.where(window.holds_utc(ts, months_back=months_back, days_back=days_back))
-    day = f"{ts}_day"
-    if day in df.columns:
-        low = _minus_months(window.start_utc, months_back) - timedelta(days=days_back)
-        kept = kept.where(F.col(day).between(F.lit(low.date()), F.lit(window.end_utc.date())))
+    for field in df.schema.fields:
+        if field.metadata.get(DAYS_OF) == ts:
+            low = _minus_months(window.start_utc, months_back) - timedelta(days=days_back)
+            first, last = (in_zone(t, field.metadata[ZONE]).date() for t in (low, window.end_utc))
+            kept = kept.where(F.col(field.name).between(F.lit(first), F.lit(last)))
     return kept
 
 

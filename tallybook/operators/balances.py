@@ -39,7 +39,7 @@ def cash_balance(
     if before is not None:
         rows = rows.where(before.started_utc("t_changed_at"))
     net = rows.groupBy(F.col("a_patron_id").alias("patron_id")).agg(F.sum(_credit_less_debit()).alias("cents"))
-    return _for_every(users, net)
+    return for_every(users, net)
 
 
 def opening_and_closing(
@@ -57,12 +57,13 @@ def opening_and_closing(
         F.sum(F.when(window.started_utc("t_changed_at"), net)).alias("opening"), F.sum(net).alias("closing")
     )
     return (
-        _for_every(users_at_start, both.select("patron_id", F.col("opening").alias("cents"))),
-        _for_every(users_at_end, both.select("patron_id", F.col("closing").alias("cents"))),
+        for_every(users_at_start, both.select("patron_id", F.col("opening").alias("cents"))),
+        for_every(users_at_end, both.select("patron_id", F.col("closing").alias("cents"))),
     )
 
 
-def _for_every(users: DataFrame, amounts: DataFrame) -> DataFrame:
+def for_every(users: DataFrame, amounts: DataFrame) -> DataFrame:
+    """Amounts of all users, 0 where there is none."""
     known = users.select("patron_id")
     return known.join(amounts, "patron_id", "left").select(
         "patron_id", F.coalesce("cents", F.lit(0)).cast("bigint").alias("cents")
@@ -143,7 +144,7 @@ def opening_bonus(
     gone = _signed_release(released, users, F.col("ts") < moment(window.start))
     late = late_unlocks(programs, unlocks, window).withColumnRenamed("user_id", "patron_id")
     late = late.join(users, "patron_id", "left_semi").groupBy("patron_id").agg(F.sum("cents").alias("cents"))
-    return _for_every(users, booked).unionByName(gone).unionByName(late)
+    return for_every(users, booked).unionByName(gone).unionByName(late)
 
 
 def closing_bonus(
@@ -153,7 +154,7 @@ def closing_bonus(
     users = users_at_end.select("patron_id").distinct()
     booked = _bonus_sum(transactions, window.ended_utc("transaction_timestamp_utc"))
     gone = _signed_release(released, users, F.col("ts") < moment(window.end))
-    return _for_every(users, booked).unionByName(gone)
+    return for_every(users, booked).unionByName(gone)
 
 
 def bonus_adjustments(

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.labels import age_years, gender_code, postal_prefix
 from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_dollars
-from tallybook.functions.periods import ReportWindow, bucket, moment, to_local
+from tallybook.functions.periods import ReportWindow, bucket, in_window, moment, to_local
 from tallybook.lineage import compute_once
-from tallybook.operators import balances, casino, jackpots, sessions
+from tallybook.operators import balances, carry, casino, jackpots, sessions
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.ledger import (
     CANCELLED_WITHDRAWALS,
@@ -138,7 +138,11 @@ PLAYER_MEASURES = {
 
 
 def player_measures(
-    tables: Catalog, window: ReportWindow, users_at_start: DataFrame, bonus_at_start: DataFrame
+    tables: Catalog,
+    window: ReportWindow,
+    users_at_start: DataFrame,
+    bonus_at_start: DataFrame,
+    carried: carry.Carried | None = None,
 ) -> DataFrame:
     """Every measure of the player report per (gaming day, player)."""
     tz = window.tz
@@ -156,19 +160,22 @@ def player_measures(
     casino_wagers = casino.with_game(
         matched.where(flow_is("casino")), tables.wager_and_game_info, ["game_category"]
     ).withColumnRenamed("game_category", "category")
-    released = compute_once(balances.bonus_released(tables.accounting, tz=tz))
-    opening, closing = balances.opening_and_closing(
-        tables.accounting, users_at_start, tables.users, window, state=ONTARIO
-    )
-    bonus_open = balances.opening_bonus(
-        users_at_start,
-        bonus_at_start,
-        released,
-        tables.user_award_bonus_cash,
-        tables.user_bonus_cash_transactions,
-        window,
-    )
-    bonus_close = balances.closing_bonus(tables.users, tables.bonus_transactions, released, window)
+    programs, unlocks = tables.user_award_bonus_cash, tables.user_bonus_cash_transactions
+    if carried is None:
+        released = compute_once(balances.bonus_released(tables.accounting, tz=tz))
+        opening, closing = balances.opening_and_closing(
+            tables.accounting, users_at_start, tables.users, window, state=ONTARIO
+        )
+        bonus_open = balances.opening_bonus(users_at_start, bonus_at_start, released, programs, unlocks, window)
+        bonus_close = balances.closing_bonus(tables.users, tables.bonus_transactions, released, window)
+    else:
+        released = compute_once(balances.bonus_released(in_window(tables.accounting, "t_changed_at", window), tz=tz))
+        moves = player_moves(tables)
+        ended = carry.carry(moves, window.end, before=carried, tz=tz)
+        opening, _ = carry.carried_cash(carried, moves, users_at_start, tables.users)
+        _, closing = carry.carried_cash(ended, moves, users_at_start, tables.users)
+        bonus_open = carry.carried_opening_bonus(carried, users_at_start, programs, unlocks, window)
+        bonus_close = carry.carried_closing_bonus(ended, tables.users, window)
     bonus_moves = balances.bonus_adjustments(
         users_at_start, tables.users, tables.bonus_transactions, released, bonus_close, window
     )
@@ -258,6 +265,11 @@ def player_measures(
     )
 
 
+def player_moves(tables: Catalog) -> DataFrame:
+    """What the balances of the player report add up from, to be carried from period to period."""
+    return carry.ledger_moves(tables.accounting, state=ONTARIO).unionByName(carry.bonus_moves(tables.bonus_transactions))
+
+
 def player_activity(
     tables: Catalog,
     window: ReportWindow,
@@ -265,14 +277,18 @@ def player_activity(
     users_at_start: DataFrame,
     bonus_at_start: DataFrame,
     run_at: datetime,
+    carried: carry.Carried | None = None,
 ) -> DataFrame:
     """Player activity per gaming day.
 
     ``tables.users`` and ``tables.bonus_transactions`` are the snapshots at the end of the
-    period; the two arguments are those at its start.
+    period; the two arguments are those at its start. With ``carried``, the state of ``player_moves``
+    at the window's start, balances are carried on instead of added up from all history.
     """
     tz = window.tz
-    measures = player_measures(tables, window, users_at_start, bonus_at_start)
+    if carried is not None and carried.upto != window.start:
+        raise ValueError("the carried state is not that of the window's start")
+    measures = player_measures(tables, window, users_at_start, bonus_at_start, carried)
     stamp = "yyyyMMdd"
     # labels are worked out once per player, before they meet the daily rows
     people = tables.users.where(F.col("is_tester") == F.lit(False)).select(

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType, StructField, StructType
 
+from tallybook.functions.periods import DAYS_OF, ZONE
 from tallybook.sources.schemas import SCHEMAS
 
 
+@dataclass(frozen=True)
+class DayLayout:
+    """A table is partitioned by ``column``, the day of its timestamp ``time`` in a zone."""
+
+    time: str
+    column: str
+    tz: str = "UTC"
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        """The table with its day column marked, for every window on ``time`` to prune by."""
+        return df.withMetadata(self.column, {DAYS_OF: self.time, ZONE: self.tz})
+
+
 class Catalog:
     """Tables by name, as attributes; each is opened once, when first asked for."""
 
@@ -32,11 +48,26 @@ class Catalog:
         return cls(frames.__getitem__)
 
     @classmethod
-    def parquet(cls, spark: SparkSession, root: str) -> "Catalog":
-        """One directory per table under ``root``, read with the declared schema."""
-        return cls(lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}"))
+    def parquet(cls, spark: SparkSession, root: str, layouts: Mapping[str, DayLayout] | None = None) -> "Catalog":
+        """One directory per table under ``root``, read with the declared schema and layout."""
+        layouts = layouts or {}
+
+        def opened(name: str) -> DataFrame:
+            layout = layouts.get(name)
+            if layout is None:
+                return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+            schema = StructType([*SCHEMAS[name].fields, StructField(layout.column, DateType())])
+            return layout.mark(spark.read.schema(schema).parquet(f"{root}/{name}"))
+
+        return cls(opened)
 
     @classmethod
-    def tables(cls, spark: SparkSession, database: str) -> "Catalog":
-        """Tables of a metastore database."""
-        return cls(lambda name: spark.table(f"{database}.{name}"))
+    def tables(cls, spark: SparkSession, database: str, layouts: Mapping[str, DayLayout] | None = None) -> "Catalog":
+        """Tables of a metastore database, with the layouts of those that are partitioned by day."""
+        layouts = layouts or {}
+
+        def opened(name: str) -> DataFrame:
+            table = spark.table(f"{database}.{name}")
+            return layouts[name].mark(table) if name in layouts else table
+
+        return cls(opened)

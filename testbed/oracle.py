@@ -266,6 +266,13 @@ checks(
                          ON n.id = b.id AND n.c = b._changed_at GROUP BY ALL)
         SELECT b.id, status, payout_amount_cents, _changed_at, updated_at FROM {{bets_history}} b
         JOIN second_clock s ON s.id = b.id AND s.c = b._changed_at AND s.u = b.updated_at""",
+    b01_snapshot_carried=" UNION ALL ".join(
+        f"""SELECT id, status, payout_amount_cents, _changed_at, updated_at, TIMESTAMP '{c}' AS cutoff FROM {{bets_history}}
+            WHERE _changed_at < TIMESTAMP '{c}' + INTERVAL 2 MINUTE
+            QUALIFY rank() OVER (PARTITION BY id ORDER BY _changed_at DESC, updated_at DESC NULLS LAST) = 1
+                    AND updated_at IS NOT NULL"""
+        for c in ("1997-03-01", "1997-03-02 01:00:00", "1999-06-30")
+    ),
     b02_latest_single_clock=f"""SELECT wallet_transaction_id, jackpot_id, type, updated_at FROM {{wallet_transaction_jackpots}} b
         WHERE updated_at = (SELECT max(updated_at) FROM {{wallet_transaction_jackpots}} m
                             WHERE m.wallet_transaction_id = b.wallet_transaction_id AND m.jackpot_id = b.jackpot_id
@@ -273,6 +280,8 @@ checks(
     b03_report_window=f"""SELECT event_id, ts, {within('ts', *_E)} AS in_utc,
         {within(local('ts'), "TIMESTAMP '2024-01-05'", "TIMESTAMP '2024-01-26'")} AS in_local
         FROM {{events}} WHERE ts >= {_E[0]} - INTERVAL 1 DAY AND ts < {_E[1]}""",
+    b03_declared_layout=f"""SELECT CAST({local('ts')} AS DATE) AS event_day, count(*) AS events FROM {{events}}
+        WHERE ts >= {_E[0]} - INTERVAL 1 DAY AND ts < {_E[1]} GROUP BY ALL""",
     b03_months_back="""SELECT id, placed_at FROM {bets}
         WHERE placed_at >= TIMESTAMP '1998-02-01 04:00:00' AND placed_at < TIMESTAMP '1998-09-01 04:00:00'""",
     b04_local_time=f"""SELECT id, {local('placed_at')} AS local FROM {{bets}}
@@ -466,6 +475,22 @@ checks(
     b27_measure_totals=f"""SELECT patron_id, {usd('sum(free)')} AS free, {usd('sum(voided)')} AS voided,
         CAST({usd('sum(paid)')} AS DECIMAL(38,1)) AS paid FROM {{small_stack}} GROUP BY ALL""",
     b28_cash_balance="""SELECT *, 'start' AS at FROM {opening_cash} UNION ALL SELECT *, 'end' FROM {closing_cash}""",
+    b28_carried_cash="""SELECT *, 'start' AS at FROM {opening_cash} UNION ALL SELECT *, 'end' FROM {closing_cash}""",
+    b28_carried_balances=" UNION ALL ".join(
+        f"""SELECT {local} AS at, '{flow}' AS flow, {who} AS patron_id, {big(f'sum({amount})')} AS cents
+            FROM {{{table}}} WHERE {where} AND {clock} < {utc} GROUP BY {who}"""
+        for local, utc in (
+            (L0, U0), ("TIMESTAMP '1998-07-01'", "TIMESTAMP '1998-07-01 04:00:00'"), (L1, U1)
+        )
+        for flow, table, who, amount, clock, where in (
+            ("cash", "accounting", "a_patron_id", "credit_cents - debit_cents", "t_changed_at", f"{LIABLE} AND gaming_state = 'CA-ON'"),
+            ("released", "accounting", "a_patron_id", "credit_cents - debit_cents", "t_changed_at",
+             f"{LIABLE} AND p_type IN ('bonus_offer_payout', 'bonus_offer_revoked', 'cash_deposit')"),
+            ("bonus", "bonus_transactions", "user_id", "transaction_amount", "transaction_timestamp_utc", _PLAY),
+        )
+    ),
+    b33_carried_bonus=f"SELECT patron_id, {big('sum(cents)')} AS cents FROM {{bonus_open}} GROUP BY ALL",
+    b34_carried_bonus=f"SELECT patron_id, {big('sum(cents)')} AS cents FROM {{bonus_close}} GROUP BY ALL",
     b29_deposits="SELECT * FROM {deposits_on}",
     b30_withdrawals="SELECT * FROM {withdrawals_on}",
     b30_cancelled_withdrawals="SELECT * FROM {cancelled_on}",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from testbed.oracle import (
+    CHECKS,
     AML_REASON,
     BET,
     BUCKETS,
@@ -814,3 +815,6 @@ checks(
         "s.cents IS NOT NULL OR t.cents IS NOT NULL",
     ),
 )
+
+# the same report from a state carried to the start of the period
+checks(r03_player_activity_carried=CHECKS["r03_player_activity"])

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybook.functions import labels
 from tallybook.functions.money import dollars, exact_dollars
-from tallybook.functions.periods import TORONTO, ReportWindow, bucket, in_window, to_local
-from tallybook.operators import alerts, balances, casino, jackpots, profiles, promos, regulator, revenue, sessions
+from tallybook.functions.periods import TORONTO, ReportWindow, bucket, in_window, moment, to_local
+from tallybook.lineage import shared_folder
+from tallybook.operators import alerts, balances, carry, casino, jackpots, profiles, promos, regulator, revenue, sessions
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.ledger import (
     ONTARIO,
@@ -31,16 +35,17 @@ from tallybook.operators.ledger import (
 from tallybook.operators.markets import bet_and_market_info
 from tallybook.operators.measures import stack_measures, total_measures
 from tallybook.operators.settlement import first_settlement, resettlement, resettlement_rollup, union_transfers
-from tallybook.operators.snapshots import latest_asof, latest_attrs, latest_settlement
+from tallybook.operators.snapshots import advance_snapshot, latest_asof, latest_attrs, latest_settlement, take_snapshot
 from tallybook.plans import activity, aml, finance, models
 from tallybook.plans.finance import cash_bets, sports_payouts
-from tallybook.sources.catalog import Catalog
+from tallybook.sources.catalog import Catalog, DayLayout
 from testbed.tables import catalog
 
 # all but the first and last year of the test tables, so that both bounds cut something
 PERIOD = ReportWindow(datetime(1996, 1, 1), datetime(2001, 1, 1))
 DAYS = (PERIOD.end - PERIOD.start).days
 EVENTS = ReportWindow(datetime(2024, 1, 5), datetime(2024, 1, 26))
+CUTOFFS = (datetime(1997, 3, 1), datetime(1997, 3, 2, 1), datetime(1999, 6, 30))
 RUN_AT = datetime(2002, 3, 4, 5, 6, 7)
 TZ = TORONTO
 
@@ -93,6 +98,19 @@ def b01_bets_asof(t):
     return newest.select("id", "status", "payout_amount_cents", "_changed_at", "updated_at")
 
 
+@query
+def b01_snapshot_carried(t):
+    """The snapshot of three cutoffs, each from the one before and the versions since."""
+    kept = take_snapshot(t.bets_history, ["id"], cutoff=CUTOFFS[0], grace=timedelta(minutes=2))
+    shown = []
+    for cutoff in CUTOFFS:
+        if cutoff != CUTOFFS[0]:
+            kept = advance_snapshot(kept, t.bets_history, cutoff=cutoff, grace=timedelta(minutes=2))
+        rows = kept.visible().select("id", "status", "payout_amount_cents", "_changed_at", "updated_at")
+        shown.append(rows.withColumn("cutoff", moment(cutoff)))
+    return reduce(DataFrame.unionByName, shown)
+
+
 @query
 def b02_latest_single_clock(t):
     newest = latest_asof(
@@ -112,6 +130,18 @@ def b03_report_window(t):
     return rows.select("event_id", "ts", EVENTS.holds_utc("ts").alias("in_utc"), EVENTS.holds_local(local).alias("in_local"))
 
 
+@query
+def b03_declared_layout(t):
+    """A window over a table that is kept by local day, as its catalog declares."""
+    spark, place = t.events.sparkSession, f"{shared_folder(t.events.sparkSession)}/by-day-{uuid.uuid4().hex}"
+    by_day = t.events.withColumn("event_day", to_local("ts", TZ).cast("date"))
+    by_day.repartition("event_day").write.partitionBy("event_day").parquet(f"{place}/events")
+    schema = StructType(by_day.schema.fields)
+    layout = DayLayout("ts", "event_day", TZ)
+    laid_out = layout.mark(spark.read.schema(schema).parquet(f"{place}/events"))
+    return in_window(laid_out, "ts", EVENTS, days_back=1).groupBy("event_day").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def b03_months_back(t):
     window = ReportWindow.month(1998, 8)
@@ -335,6 +365,26 @@ def b28_cash_balance(t):
     return start.withColumn("at", F.lit("start")).unionByName(end.withColumn("at", F.lit("end")))
 
 
+@query
+def b28_carried_balances(t):
+    """Every flow's balance at three moments, each carried on from the one before."""
+    moves, kept, found = activity.player_moves(t), None, []
+    for at in (datetime(1996, 1, 1), datetime(1998, 7, 1), PERIOD.end):
+        kept = carry.carry(moves, at, before=kept, tz=TZ)
+        for flow in (carry.CASH, carry.RELEASED, carry.BONUS):
+            rows = kept.balance(flow).select("patron_id", "cents")
+            found.append(rows.select(moment(at).alias("at"), F.lit(flow).alias("flow"), "patron_id", "cents"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def b28_carried_cash(t):
+    """Opening and closing balance with a state of the period's start."""
+    moves = activity.player_moves(t)
+    start, end = carry.carried_cash(carry.carry(moves, PERIOD.start, tz=TZ), moves, _start_users(t), t.users)
+    return start.withColumn("at", F.lit("start")).unionByName(end.withColumn("at", F.lit("end")))
+
+
 @query
 def b29_deposits(t):
     return balances.deposits(t.accounting, PERIOD, tz=TZ, state=ONTARIO)
@@ -387,6 +437,24 @@ def b33_opening_bonus(t):
     return _opening_bonus(t).groupBy("patron_id").agg(F.sum("cents").alias("cents"))
 
 
+def _carried(t):
+    return carry.carry(activity.player_moves(t), PERIOD.start, tz=TZ)
+
+
+@query
+def b33_carried_bonus(t):
+    opening = carry.carried_opening_bonus(
+        _carried(t), _start_users(t), t.user_award_bonus_cash, t.user_bonus_cash_transactions, PERIOD
+    )
+    return opening.groupBy("patron_id").agg(F.sum("cents").alias("cents"))
+
+
+@query
+def b34_carried_bonus(t):
+    ended = carry.carry(activity.player_moves(t), PERIOD.end, before=_carried(t), tz=TZ)
+    return carry.carried_closing_bonus(ended, t.users, PERIOD).groupBy("patron_id").agg(F.sum("cents").alias("cents"))
+
+
 @query
 def b33_late_unlocks(t):
     return balances.late_unlocks(t.user_award_bonus_cash, t.user_bonus_cash_transactions, PERIOD)
@@ -778,6 +846,14 @@ def r03_player_activity(t):
     )
 
 
+@query
+def r03_player_activity_carried(t):
+    before = t.bonus_transactions.where(PERIOD.started_utc("transaction_timestamp_utc"))
+    return activity.player_activity(
+        t, PERIOD, users_at_start=_start_users(t), bonus_at_start=before, run_at=RUN_AT, carried=_carried(t)
+    )
+
+
 @query
 def r04_game_activity(t):
     return activity.game_report(t, PERIOD)

@@ -1,12 +1,13 @@
 from datetime import datetime
 
 import pytest
-from conftest import at, collected
+from conftest import at, collected, ledger
 from pyspark.sql import functions as F
 
 from tallybook.functions.labels import age_years, capitalised, event_text
 from tallybook.functions.money import dollars, units_and_nanos
-from tallybook.functions.periods import ReportWindow, bucket, in_window, seconds_between, to_local
+from tallybook.functions.periods import TORONTO, ReportWindow, bucket, in_window, seconds_between, to_local
+from tallybook.sources.catalog import Catalog, DayLayout
 
 
 def stamps(spark, *texts):
@@ -38,14 +39,34 @@ def test_look_back(spark):
     assert in_window(df, "ts", window, days_back=1).count() == 1
 
 
-def test_day_column_prunes_directories(spark, tmp_path):
+def by_day(spark, path, zone, column):
+    df = stamps(spark, "2023-01-09 12:00:00", "2023-01-10 12:00:00", "2023-01-11 02:00:00", "2023-01-12 12:00:00")
+    df.withColumn(column, to_local("ts", zone).cast("date")).write.partitionBy(column).parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("zone", ["UTC", TORONTO])
+def test_declared_layout_prunes_directories(spark, tmp_path, zone):
     path = str(tmp_path / "t")
-    df = stamps(spark, "2023-01-09 12:00:00", "2023-01-10 12:00:00", "2023-01-12 12:00:00")
-    df.withColumn("ts_day", F.col("ts").cast("date")).write.partitionBy("ts_day").parquet(path)
-    kept = in_window(spark.read.parquet(path), "ts", ReportWindow.day(2023, 1, 10))
+    kept = in_window(DayLayout("ts", "kept_on", zone).mark(by_day(spark, path, zone, "kept_on")), "ts", ReportWindow.day(2023, 1, 10))
+    assert kept.count() == 2
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "kept_on" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_column_named_like_a_day_is_left_alone(spark):
+    df = stamps(spark, "2023-01-10 12:00:00").withColumn("ts_day", F.lit("1999-01-01").cast("date"))
+    assert in_window(df, "ts", ReportWindow.day(2023, 1, 10)).count() == 1
+
+
+def test_catalog_reads_a_declared_layout(spark, tmp_path):
+    rows = ledger(spark, {"t_changed_at": at("2023-01-10 12:00:00")}, {"t_changed_at": at("2023-01-12 12:00:00")})
+    rows.withColumn("day", F.col("t_changed_at").cast("date")).write.partitionBy("day").parquet(str(tmp_path / "accounting"))
+    tables = Catalog.parquet(spark, str(tmp_path), {"accounting": DayLayout("t_changed_at", "day")})
+    kept = in_window(tables.accounting, "t_changed_at", ReportWindow.day(2023, 1, 10))
     assert kept.count() == 1
     plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "ts_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Toronto", "Europe/Berlin"])
