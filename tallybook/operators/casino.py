@@ -22,10 +22,19 @@ REMODELLED_SUFFIX = "_R3"
 # ----------------------------------------------------------------------------------------------
 
 
-def with_game(rows: DataFrame, wager_info: DataFrame, attrs: Sequence[str]) -> DataFrame:
-    """Attach game attributes by patron transaction; a transaction without a game stays."""
-    games = wager_info.select(F.col("patron_transaction_id").alias("_tx"), *attrs)
-    return rows.join(games, F.col("ref_id") == F.col("_tx"), "left").drop("_tx")
+def with_game(rows: DataFrame, wager_info: DataFrame, attrs: Sequence[str], amount: str = "cents") -> DataFrame:
+    """Attach game attributes by patron transaction; a transaction without a game stays.
+
+    Game rows that repeat, with the same attributes, become one that the amount is multiplied by: the sums
+    are those of a plain join, and a transaction is still one row per set of attributes, so counting rows
+    counts it once.
+    """
+    games = wager_info.where(F.col("patron_transaction_id").isNotNull())
+    # laid out by transaction, the grouping and the join share one exchange
+    games = games.select(F.col("patron_transaction_id").alias("_tx"), *attrs).repartition("_tx")
+    games = games.groupBy("_tx", *attrs).agg(F.count(F.lit(1)).alias("_copies"))
+    joined = rows.join(games, F.col("ref_id") == F.col("_tx"), "left")
+    return joined.withColumn(amount, F.col(amount) * F.coalesce("_copies", F.lit(1))).drop("_tx", "_copies")
 
 
 def transfer_to_casino(
@@ -42,8 +51,8 @@ def transfer_to_casino(
     wagers = matched(rows, CASINO_WAGERS, [to_local("posted_at", tz).alias("ts"), "patron_id", "ref_id", *extra], extra)
     if not game:
         return wagers
-    joined = with_game(wagers, wager_info, game)
-    return joined.groupBy("ts", "patron_id", "ref_id", *extra, *game).agg(F.sum("cents").alias("cents"))
+    columns = ["ts", "patron_id", "ref_id", *extra, *game, "cents"]
+    return with_game(wagers, wager_info, game).select(*columns)
 
 
 def casino_rollbacks(
@@ -109,7 +118,7 @@ def free_rounds_wagered(
     rows = rounds.join(clocks, "ref_id")
     keys = ["ts", "patron_id", "ref_id"]
     if wager_info is not None:
-        rows = with_game(rows, wager_info, ["game_category"]).withColumnRenamed("game_category", "category")
+        rows = with_game(rows, wager_info, ["game_category"], "amount_cents").withColumnRenamed("game_category", "category")
         keys.append("category")
     return rows.groupBy(*keys).agg(F.sum("amount_cents").alias("cents"))
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -282,6 +283,22 @@ def ledger_flows(ledger: DataFrame, flows: Sequence[Flow], tz: str, extra: Seque
     ).agg(F.sum(amount).alias("cents"))
 
 
+def is_any(flows: Sequence[Flow]) -> Column:
+    """The posting belongs to one of the flows."""
+    return reduce(Column.__or__, [flow.holds for flow in flows])
+
+
+def as_moves(rows: DataFrame, *more: str | Column, tz: str) -> DataFrame:
+    """Postings as (ts, patron_id, *more, cents) for a measure stack, not summed.
+
+    Sums of a stack need none before them, so a flow that is only added up has no shuffle of its own.
+    """
+    net = F.col("credit_cents") - F.col("debit_cents")
+    return rows.select(
+        to_local("t_changed_at", tz).alias("ts"), F.col("a_patron_id").alias("patron_id"), *more, net.alias("cents")
+    )
+
+
 # --- the movements the reports name -----------------------------------------------------------
 
 

@@ -175,12 +175,14 @@ def first_settlement(
     tz: str,
     state: str | None = None,
     later_states: DataFrame | None = None,
+    summed: bool = True,
 ) -> DataFrame:
     """Credits of bets settled straight out of the open state.
 
     The first settlement books cash refunds and free-bet wins, a later one only cash refunds;
     anything else of a first settlement is carried as 0. ``later_states`` is given where the
-    later settlements are read from another snapshot of the states.
+    later settlements are read from another snapshot of the states. With ``summed`` off every posting
+    is a row, for a stack that adds them up itself.
     """
     postings = in_state(in_window(ledger, "t_changed_at", window), state).where(
         (F.col("p_type") == "sportsbook_bet_resettlement") & (F.col("a_type") == CUSTOMER_LIABILITY)
@@ -209,8 +211,10 @@ def first_settlement(
     books = ((F.col("state") == "refund") & F.col("promo_id").isNull()) | (
         (F.col("state") == "win") & F.col("promo_id").isNotNull()
     )
-    groups = rows.groupBy("is_first", "ts", "patron_id", "bet_id", "promo_id", "state")
-    sums = groups.agg(F.sum("net").alias("net"))
+    sums = rows
+    if summed:
+        groups = rows.groupBy("is_first", "ts", "patron_id", "bet_id", "promo_id", "state")
+        sums = groups.agg(F.sum("net").alias("net"))
     booked = F.when(books, F.coalesce("net", F.lit(0))).otherwise(0).cast("bigint")
     return sums.select("ts", "patron_id", "bet_id", "promo_id", "state", "is_first", booked.alias("cents"))
 

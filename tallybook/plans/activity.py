@@ -20,24 +20,24 @@ from tallybook.operators.ledger import (
     ONTARIO,
     SPORTS_PAYOUT_TYPES,
     WITHDRAWALS,
-    Flow,
+    as_moves,
     bet_id,
     cash_adjustment,
     deposit_flows,
     flag_promo,
-    ledger_flows,
+    is_any,
     matched_transfers,
     on_customer,
     real_players,
     withdrawal_flows,
 )
-from tallybook.operators.measures import flow_amount, flow_is, stack_measures, union_measures
+from tallybook.operators.measures import flow_is, stack_measures, union_measures
 from tallybook.operators.profiles import status_flags
 from tallybook.operators.regulator import SITE_ID
 from tallybook.operators.revenue import GAME_MEASURES, game_activity
 from tallybook.operators.settlement import first_settlement, resettlement
 from tallybook.plans.finance import cash_bets, stored_window
-from tallybook.plans.models import jackpots_from_history
+from tallybook.plans.models import stored_jackpots
 from tallybook.operators.markets import bet_and_market_info
 from tallybook.sources.catalog import Catalog
 
@@ -48,8 +48,8 @@ class _Flows:
 
     cash_bets: DataFrame
     free_bets: DataFrame
-    sports_net: DataFrame  # flow: won / free_won
-    settled: DataFrame
+    sports_net: DataFrame  # postings, is_promo
+    settled: DataFrame  # postings
     resettled: DataFrame  # is_promo
     voided: DataFrame  # is_promo
     pending: DataFrame  # is_promo
@@ -71,15 +71,8 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
     return _Flows(
         cash_bets=cash_bets(ledger, free, tz),
         free_bets=bet_ops.free_bets_wagered(tables.bets, window, tz=tz),
-        sports_net=ledger_flows(
-            sports,
-            [
-                Flow("won", ~F.col("is_promo"), bet_id()),
-                Flow("free_won", F.col("is_promo"), bet_id()),
-            ],
-            tz,
-        ).withColumnRenamed("ref_id", "bet_id"),
-        settled=first_settlement(ledger, tables.bet_states, window, tz=tz),
+        sports_net=as_moves(sports, bet_id().alias("bet_id"), "is_promo", tz=tz),
+        settled=first_settlement(ledger, tables.bet_states, window, tz=tz, summed=False),
         resettled=resettled.groupBy("ts", "patron_id", "bet_id", "is_promo").agg(F.sum("cents").alias("cents")),
         voided=bet_ops.voided(tables.bets, window, tz=tz, promo=None),
         pending=bet_ops.open_exposure(tables.bets, window, promo=None),
@@ -101,7 +94,7 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
         free_round_payouts=casino.free_round_payouts(
             tables.casino_payouts, tables.patron_transactions, window, tz=tz
         ),
-        model=compute_once(jackpots_from_history(tables, window.end_utc)),
+        model=stored_jackpots(tables, window.end_utc),
     )
 
 
@@ -149,9 +142,11 @@ def player_measures(
     ledger = stored_window(tables.accounting, window, ONTARIO)
     f = _flows(tables, window, ledger, with_category=True)
 
-    moved = ledger_flows(
-        ledger, [*deposit_flows(), *withdrawal_flows(), Flow("adjustment", cash_adjustment())], tz
+    given, taken, changed = is_any(deposit_flows()), is_any(withdrawal_flows()), cash_adjustment()
+    moved = as_moves(
+        ledger.where(given | taken | changed), given.alias("given"), taken.alias("taken"), changed.alias("changed"), tz=tz
     )
+    won = as_moves(casino.label_payouts(ledger, tables.casino_payouts).where(F.col("award_id").isNull()), tz=tz)
     matched = matched_transfers(
         ledger,
         {"withdrawn": WITHDRAWALS, "cancelled": CANCELLED_WITHDRAWALS, "casino": CASINO_WAGERS},
@@ -204,9 +199,9 @@ def player_measures(
             (
                 dated(moved),
                 {
-                    "deposits": flow_amount("deposit", "wire_deposit", "region_in"),
-                    "withdrawals": flow_amount("wire_withdrawal", "region_out"),
-                    "adjustments": flow_amount("adjustment"),
+                    "deposits": F.when(F.col("given"), cents),
+                    "withdrawals": F.when(F.col("taken"), -cents),
+                    "adjustments": F.when(F.col("changed"), cents),
                 },
             ),
             (
@@ -216,10 +211,10 @@ def player_measures(
             (dated(released), {"adjustments": cents}),
             (
                 dated(f.sports_net),
-                {"player_win": flow_amount("won"), "withdrawable_win": flow_amount("free_won")},
+                {"player_win": F.when(cash, cents), "withdrawable_win": F.when(promo, cents)},
             ),
             (dated(f.settled), {"player_win": cents}),
-            (dated(f.casino_won), {"player_win": cents}),
+            (dated(won), {"player_win": cents}),
             (
                 dated(f.resettled),
                 {"player_win": F.when(cash, -cents), "withdrawable_win": F.when(promo, -cents)},
@@ -413,7 +408,7 @@ def game_report(tables: Catalog, window: ReportWindow) -> DataFrame:
             f.pending,
             {"unsettled_wagers": F.when(cash, cents), "promo_unsettled_wagers": F.when(promo, cents)},
         ),
-        (f.sports_net, {"win_game": flow_amount("won"), "withdrawable_win": flow_amount("free_won")}),
+        (f.sports_net, {"win_game": F.when(cash, cents), "withdrawable_win": F.when(promo, cents)}),
         (f.settled, {"win_game": cents}),
         (f.casino_won, {"win_game": cents}),
         (won_cash, {"win_jackpot": -amount}),

@@ -12,6 +12,7 @@ from tallybook.functions.periods import ReportWindow, bucket, in_window, to_loca
 from tallybook.lineage import compute_once
 from tallybook.operators import bets as bet_ops
 from tallybook.operators import casino, jackpots, regulator, revenue
+from tallybook.operators.free_bets import FreeBetIndex
 from tallybook.operators.ledger import (
     CASINO_ROLLBACKS_BY_ID,
     ONTARIO,
@@ -36,7 +37,7 @@ from tallybook.operators.settlement import (
     union_transfers,
 )
 from tallybook.operators.snapshots import latest_settlement
-from tallybook.plans.models import jackpots_from_history
+from tallybook.plans.models import stored_jackpots
 from tallybook.sources.catalog import Catalog
 
 
@@ -71,18 +72,30 @@ def _stated(rows: DataFrame, *, state: str | None = ONTARIO, wager: str = "ref_i
     return rows.withColumn("wager_id", F.col(wager))
 
 
+def _free_in(rows: DataFrame, ledger: DataFrame, index: FreeBetIndex | None) -> DataFrame:
+    """Ids of free bets that matter for some stored postings."""
+    if index is None:
+        return free_bet_ids(ledger)
+    return index.among(rows.where(F.col("p_type").isin(*SPORTS_BETS.types)).select(bet_id().alias("_bet")), "_bet", ledger=ledger)
+
+
 def stored_window(ledger: DataFrame, window: ReportWindow, state: str | None = None) -> DataFrame:
     """The window's postings, read from the ledger once and stored; every flow of a report branches from there."""
     return compute_once(in_state(in_window(ledger, "t_changed_at", window), state))
 
 
-def results_detail_with_jackpots(tables: Catalog, window: ReportWindow, *, ordered: bool = False) -> DataFrame:
-    """Results detail with jackpot contributions and wins."""
+def results_detail_with_jackpots(
+    tables: Catalog, window: ReportWindow, *, free_index: FreeBetIndex | None = None, ordered: bool = False
+) -> DataFrame:
+    """Results detail with jackpot contributions and wins.
+
+    With ``free_index`` the ids of free bets come from it and from the ledger since; otherwise from all history.
+    """
     tz = window.tz
     ledger = stored_window(tables.accounting, window)
-    model = compute_once(jackpots_from_history(tables, window.end_utc))
+    model = stored_jackpots(tables, window.end_utc)
 
-    free = free_bet_ids(tables.accounting)
+    free = _free_in(ledger, tables.accounting, free_index)
     sports = revenue.sports_stack(
         union_transfers(cash_bets(ledger, free, tz), bet_ops.free_bets_wagered(tables.bets, window, tz=tz)),
         bet_ops.voided(tables.bets, window, tz=tz),
@@ -143,6 +156,7 @@ def results_detail_without_jackpots(
     window: ReportWindow,
     *,
     free_bets: DataFrame | None = None,
+    free_index: FreeBetIndex | None = None,
     free_bets_wagered: DataFrame | None = None,
     resettled: DataFrame | None = None,
     free_rounds: DataFrame | None = None,
@@ -153,11 +167,11 @@ def results_detail_without_jackpots(
     """Results detail before jackpots.
 
     The promotion and resettlement models are inputs of this report; those not given are made
-    by the same operators. Cash rollbacks take the rollback's own time.
+    by the same operators, the ids of free bets with ``free_index`` where that is given. Cash rollbacks take the rollback's own time.
     """
     tz = window.tz
     ledger = stored_window(tables.accounting, window)
-    free = free_bets if free_bets is not None else free_bet_ids(tables.accounting)
+    free = free_bets if free_bets is not None else _free_in(ledger, tables.accounting, free_index)
     if free_bets_wagered is None:
         free_bets_wagered = bet_ops.free_bets_wagered(tables.bets, window, tz=tz)
     if resettled is None:
@@ -219,7 +233,9 @@ def _of_players(frame: DataFrame, players: DataFrame, key: str) -> DataFrame:
     return frame.join(players, frame[key] == players["patron_id"], "left_semi")
 
 
-def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> DataFrame:
+def ggr_by_product(
+    tables: Catalog, window: ReportWindow, *, days: int = 1, free_index: FreeBetIndex | None = None
+) -> DataFrame:
     """Gross gaming revenue per gaming day and product.
 
     A filing names the first day of the window only; ``days`` gives as many daily filings. The
@@ -233,7 +249,11 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
     by_account = _of_players(ledger, players, "a_patron_id")
     by_player = _of_players(ledger, players, "p_patron_id")
 
-    free = compute_once(free_bet_ids(_of_players(in_state(tables.accounting, ONTARIO), players, "a_patron_id")))
+    if free_index is None:
+        free = free_bet_ids(_of_players(in_state(tables.accounting, ONTARIO), players, "a_patron_id"))
+    else:
+        free = free_index.bets(tables.accounting, state=ONTARIO, players=players)
+    free = compute_once(free)
     free_bets = _of_players(tables.bets.where(bet_ops.is_free()), players, "patron_id").select(
         F.col("id").alias("bet_id")
     )
@@ -255,7 +275,7 @@ def ggr_by_product(tables: Catalog, window: ReportWindow, *, days: int = 1) -> D
     payouts = casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz)
     undone = matched(by_player, CASINO_ROLLBACKS_BY_ID, [to_local("posted_at", tz).alias("ts")], credits=any_day)
 
-    model = compute_once(jackpots_from_history(tables, window.end_utc))
+    model = stored_jackpots(tables, window.end_utc)
     named = tables.wager_and_game_info.select(F.col("patron_transaction_id").alias("ref_id"), "game_name")
     contributed = wagers.join(jackpots.of_type(model, "contribution"), "ref_id").join(named, "ref_id", "left")
     won = payouts.join(jackpots.of_type(model, "win", free=False), "ref_id").join(named, "ref_id", "left")
@@ -356,7 +376,7 @@ def casino_ggr(tables: Catalog, window: ReportWindow, used: DataFrame, *, days:
     )
     undone = undone.join(on_game, "ref_id").join(catalogue, "game_id")
 
-    model = compute_once(jackpots_from_history(tables, window.end_utc))
+    model = stored_jackpots(tables, window.end_utc)
 
     def in_local_day(frame: DataFrame) -> DataFrame:
         return frame.withColumn("gaming_day", bucket(to_local("_changed_at", tz), "day"))

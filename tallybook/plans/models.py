@@ -38,6 +38,11 @@ def jackpots_from_history(
     )
 
 
+def stored_jackpots(tables: Catalog, cutoff: datetime) -> DataFrame:
+    """The jackpot model at a cutoff, made once for all reports that are given this catalog."""
+    return tables.once(("jackpots", cutoff), lambda: jackpots_from_history(tables, cutoff))
+
+
 def jackpots_from_current(tables: Catalog, cutoff: datetime) -> DataFrame:
     """Jackpot model over current tables with a single clock, carrying the player.
 
@@ -55,15 +60,17 @@ def jackpots_from_current(tables: Catalog, cutoff: datetime) -> DataFrame:
     )
 
 
-def used_free_wagers(tables: Catalog, window: ReportWindow, run_at: datetime) -> DataFrame:
-    """Free bets and free rounds settled in the period."""
+def used_free_wagers(
+    tables: Catalog, window: ReportWindow, run_at: datetime, *, model: DataFrame | None = None
+) -> DataFrame:
+    """Free bets and free rounds settled in the period (R07); ``model`` is the jackpot model if there is one."""
     rounds = promos.free_round_lifecycle(
         tables.wager_and_game_info,
         tables.patron_transactions,
         tables.casino_wagers,
         tables.casino_payouts,
         tables.casino_wager_rollbacks,
-        jackpots_from_history(tables, window.end_utc),
+        model if model is not None else jackpots_from_history(tables, window.end_utc),
         window,
     )
     settled = promos.settled_free_bets(tables.bets).unionByName(rounds)

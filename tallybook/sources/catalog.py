@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, StructField, StructType
 
 from tallybook.functions.periods import DAYS_OF, ZONE
+from tallybook.lineage import compute_once
 from tallybook.sources.schemas import SCHEMAS
 
 
@@ -26,11 +27,21 @@ class DayLayout:
 
 
 class Catalog:
-    """Tables by name, as attributes; each is opened once, when first asked for."""
+    """Tables by name, as attributes; each is opened once, when first asked for.
+
+    A catalog is one run's view of the tables: models that several reports derive from them are kept with it.
+    """
 
     def __init__(self, opener: Callable[[str], DataFrame]):
         self._opener = opener
         self._opened: dict[str, DataFrame] = {}
+        self._kept: dict[tuple, DataFrame] = {}
+
+    def once(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived model by key: made and stored when first asked for, handed to every report of the run."""
+        if key not in self._kept:
+            self._kept[key] = compute_once(build())
+        return self._kept[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

@@ -298,6 +298,12 @@ checks(
         count(*) AS postings, {big('sum(debit_cents)')} AS debits
         FROM {{ledger_w}} a LEFT JOIN {{free_ids}} f ON f.bet_id = {BET} WHERE p_type = 'sportsbook_bet' GROUP BY ALL""",
     b10_free_bets_posted="SELECT bet_id FROM {free_ids}",
+    b10_free_bet_index=f"""SELECT DISTINCT {BET} AS bet_id, 'ledger' AS of FROM {{accounting}} WHERE p_type = 'sportsbook_free_bet'
+        UNION ALL SELECT DISTINCT {BET}, 'index' FROM {{accounting}}
+            WHERE p_type = 'sportsbook_free_bet' AND t_changed_at < TIMESTAMP '2000-01-01'
+        UNION ALL SELECT DISTINCT {BET}, 'report' FROM {{accounting}}
+            WHERE p_type = 'sportsbook_free_bet' AND gaming_state = 'CA-ON'
+              AND a_patron_id IN (SELECT patron_id FROM {{users}} WHERE is_tester = FALSE)""",
     b10_free_bets_in_window=f"""SELECT DISTINCT b.id AS bet_id FROM {{bets}} b JOIN {{ledger_on}} a ON b.id = {BET}
         WHERE b.free_bet_id IS NOT NULL""",
     b11_free_bets_wagered="SELECT * FROM {free_w}",

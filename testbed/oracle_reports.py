@@ -818,3 +818,5 @@ checks(
 
 # the same report from a state carried to the start of the period
 checks(r03_player_activity_carried=CHECKS["r03_player_activity"])
+# and with the ids of free bets from a kept index
+checks(r01_results_detail_indexed=CHECKS["r01_results_detail"], r05_ggr_by_product_indexed=CHECKS["r05_ggr_by_product"])

@@ -15,7 +15,7 @@ from tallybook.functions import labels
 from tallybook.functions.money import dollars, exact_dollars
 from tallybook.functions.periods import TORONTO, ReportWindow, bucket, in_window, moment, to_local
 from tallybook.lineage import shared_folder
-from tallybook.operators import alerts, balances, carry, casino, jackpots, profiles, promos, regulator, revenue, sessions
+from tallybook.operators import alerts, balances, carry, casino, free_bets, jackpots, profiles, promos, regulator, revenue, sessions
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.ledger import (
     ONTARIO,
@@ -214,6 +214,22 @@ def b10_free_bets_posted(t):
     return free_bet_ids(t.accounting)
 
 
+def _free_index(t):
+    """The index as three refreshes leave it, each of which reads only its own time."""
+    index = None
+    for upto in (datetime(1995, 6, 1), datetime(1997, 1, 1), datetime(2000, 1, 1)):
+        index, _ = free_bets.refresh(t.accounting, upto, index)
+    return index
+
+
+@query
+def b10_free_bet_index(t):
+    index = _free_index(t)
+    kept = index.bets().withColumn("of", F.lit("index"))
+    ours = index.bets(t.accounting, state=ONTARIO, players=real_players(t.users)).withColumn("of", F.lit("report"))
+    return kept.unionByName(index.bets(t.accounting).withColumn("of", F.lit("ledger"))).unionByName(ours)
+
+
 @query
 def b10_free_bets_in_window(t):
     return free_bet_ids_posted(t.bets, t.accounting, PERIOD, ONTARIO)
@@ -833,6 +849,11 @@ def r01_results_detail(t):
     return finance.results_detail_with_jackpots(t, PERIOD)
 
 
+@query
+def r01_results_detail_indexed(t):
+    return finance.results_detail_with_jackpots(t, PERIOD, free_index=_free_index(t))
+
+
 @query
 def r02_results_detail_plain(t):
     return finance.results_detail_without_jackpots(t, PERIOD)
@@ -864,9 +885,15 @@ def r05_ggr_by_product(t):
     return finance.ggr_by_product(t, PERIOD, days=DAYS)
 
 
+@query
+def r05_ggr_by_product_indexed(t):
+    return finance.ggr_by_product(t, PERIOD, days=DAYS, free_index=_free_index(t))
+
+
 @query
 def r06_casino_ggr(t):
-    return finance.casino_ggr(t, PERIOD, models.used_free_wagers(t, PERIOD, RUN_AT), days=DAYS)
+    used = models.used_free_wagers(t, PERIOD, RUN_AT, model=models.stored_jackpots(t, PERIOD.end_utc))
+    return finance.casino_ggr(t, PERIOD, used, days=DAYS)
 
 
 @query
