@@ -180,53 +180,77 @@ def lifetime_deposits(
     return sums.withColumn("ranks", F.rank().over(best)).where(F.col("ranks") == 1)
 
 
-def withdrawal_activity(
+def withdrawal_refs(
     ledger: DataFrame,
     *,
     tz: str,
-    by_month: bool,
     players: DataFrame | None = None,
-    weigh_matched: bool = False,
     cut_credits: bool = False,
-    prefix: str = "",
     wire_ledger: DataFrame | None = None,
     credit_ledger: DataFrame | None = None,
-    collapse: bool = False,
+    within: ReportWindow | None = None,
 ) -> DataFrame:
-    """Withdrawals per player, by month or of all time: matched legs and wires.
-
-    A player with both kinds has two rows, which doubles what is joined to them later;
-    ``collapse`` adds them up instead. With a driver (patron_id, times) wires count once per
-    driver row, matched withdrawals only if ``weigh_matched``. The driver cuts the debit legs;
-    the house's credit legs, which may name no player, only with ``cut_credits``.
-    ``wire_ledger`` is given where wires are read over a wider period than matched withdrawals,
-    ``credit_ledger`` where the credit legs are in a frame of their own.
-    """
-    month = ["transaction_period"] if by_month else []
+    """Cents per withdrawal and local month: matched legs and wires.
 
-    def period(ts: str) -> list[Column]:
-        return [bucket(to_local(ts, tz), "month").alias("transaction_period")] if by_month else []
+    The driver (patron_id, times) cuts the debit legs; the house's credit legs, which may name no player, only
+    with ``cut_credits``. ``wire_ledger`` is given where wires are read over a wider period than matched
+    withdrawals, ``credit_ledger`` where the credit legs are in a frame of their own. Returns
+    (transaction_period, inside, patron_id, ref_id, is_wire, times, cents); ``inside`` says whether the posting
+    lies in the window ``within``, true without one.
+    """
 
     def cut(rows: DataFrame) -> DataFrame:
         return rows if players is None else rows.join(players.select(F.col("patron_id").alias("a_patron_id")), "a_patron_id", "left_semi")
 
+    def keys(ts: str) -> list[Column]:
+        inside = F.lit(True) if within is None else within.holds_utc(ts)
+        return [bucket(to_local(ts, tz), "month").alias("transaction_period"), inside.alias("inside"), F.col("patron_id")]
+
     if credit_ledger is None and (players is None or cut_credits):
         house = None
     else:
         house = credit_ledger if credit_ledger is not None else ledger
         house = cut(house) if cut_credits else house
-    taken = matched(cut(ledger), WITHDRAWALS, [*period("posted_at"), "patron_id", "ref_id"], credits=house)
-    weight = F.col("times") if weigh_matched else F.lit(1)
-    taken = driven(taken, players).withColumn("cents", F.col("cents") * weight).drop("times")
-    wires = (wire_ledger if wire_ledger is not None else ledger).where(wire(WIRE_WITHDRAWAL, AML_WIRE_REASONS))
-    wires = driven(wires.withColumnRenamed("a_patron_id", "patron_id"), players)
-    wired = wires.groupBy(
-        *period("t_changed_at"), "patron_id", F.col("patron_transaction_id").alias("ref_id")
-    ).agg(F.sum((F.col("debit_cents") - F.col("credit_cents")) * F.col("times")).alias("cents"))
-    both = taken.withColumn("_kind", F.lit(0)).unionByName(wired.withColumn("_kind", F.lit(1)))
-    if collapse:
-        both = both.groupBy(*month, "patron_id", "ref_id").agg(F.sum("cents").alias("cents"))
-        both = both.withColumn("_kind", F.lit(0))
-    return both.groupBy(*month, "patron_id", "_kind").agg(
+    taken = matched(cut(ledger), WITHDRAWALS, [*keys("posted_at"), F.col("ref_id")], credits=house)
+    wires = cut(wire_ledger if wire_ledger is not None else ledger).where(wire(WIRE_WITHDRAWAL, AML_WIRE_REASONS))
+    wires = wires.withColumnRenamed("a_patron_id", "patron_id")
+    wired = wires.groupBy(*keys("t_changed_at"), F.col("patron_transaction_id").alias("ref_id")).agg(
+        F.sum(F.col("debit_cents") - F.col("credit_cents")).alias("cents")
+    )
+    both = taken.withColumn("is_wire", F.lit(False)).unionByName(wired.withColumn("is_wire", F.lit(True)))
+    return driven(both, players)
+
+
+def withdrawal_totals(
+    refs: DataFrame, *, by_month: bool, weigh_matched: bool = False, prefix: str = "", collapse: bool = False
+) -> DataFrame:
+    """Withdrawals per player, by month of the window or of all that was read.
+
+    A player with both kinds has two rows, which doubles what is joined to them later; ``collapse`` adds them
+    up instead. Wires count once per driver row, matched withdrawals only if ``weigh_matched``.
+    """
+    weight = F.col("times") if weigh_matched else F.when(F.col("is_wire"), F.col("times")).otherwise(1)
+    rows = (refs.where("inside") if by_month else refs).withColumn("cents", F.col("cents") * weight)
+    by = [*(["transaction_period"] if by_month else []), "patron_id", *([] if collapse else ["is_wire"])]
+    if collapse or not by_month:
+        rows = rows.groupBy(*by, "ref_id").agg(F.sum("cents").alias("cents"))
+    return rows.groupBy(*by).agg(
         F.count("ref_id").alias(f"{prefix}withdrawals"), F.sum("cents").alias(f"{prefix}withdrawal_cents")
-    ).drop("_kind")
+    ).drop("is_wire")
+
+
+def withdrawal_activity(
+    ledger: DataFrame,
+    *,
+    tz: str,
+    by_month: bool,
+    players: DataFrame | None = None,
+    weigh_matched: bool = False,
+    cut_credits: bool = False,
+    prefix: str = "",
+    wire_ledger: DataFrame | None = None,
+    collapse: bool = False,
+) -> DataFrame:
+    """One of the totals of ``withdrawal_totals`` straight from the ledger."""
+    refs = withdrawal_refs(ledger, tz=tz, players=players, cut_credits=cut_credits, wire_ledger=wire_ledger)
+    return withdrawal_totals(refs, by_month=by_month, weigh_matched=weigh_matched, prefix=prefix, collapse=collapse)

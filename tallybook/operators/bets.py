@@ -15,22 +15,28 @@ def is_free() -> Column:
     return F.col("free_bet_id").isNotNull()
 
 
-def free_bets_wagered(bets: DataFrame, window: ReportWindow | None, *, tz: str) -> DataFrame:
+def _staked(bets: DataFrame, by: Sequence[str | Column], summed: bool) -> DataFrame:
+    """Stakes by keys, or one row per bet for a stack that adds them up itself."""
+    if not summed:
+        return bets.select(*by, F.col("bet_amount_cents").alias("cents"))
+    return bets.groupBy(*by).agg(F.sum("bet_amount_cents").alias("cents"))
+
+
+def free_bets_wagered(bets: DataFrame, window: ReportWindow | None, *, tz: str, summed: bool = True) -> DataFrame:
     """Stakes of free bets by placement time; None leaves the period open."""
     placed = in_window(bets.where(is_free()), "placed_at", window)
-    return placed.groupBy(
-        to_local("placed_at", tz).alias("ts"), "patron_id", F.col("id").alias("bet_id")
-    ).agg(F.sum("bet_amount_cents").alias("cents"))
+    return _staked(placed, [to_local("placed_at", tz).alias("ts"), "patron_id", F.col("id").alias("bet_id")], summed)
 
 
-def voided(bets: DataFrame, window: ReportWindow | None, *, tz: str, promo: bool | None = False) -> DataFrame:
+def voided(
+    bets: DataFrame, window: ReportWindow | None, *, tz: str, promo: bool | None = False, summed: bool = True
+) -> DataFrame:
     """Voided stakes by closing time; ``promo`` picks cash, free or (None) both, flagged."""
     rows = in_window(bets.where(F.col("status") == "voided"), "closed_at", window)
     if promo is not None:
         rows = rows.where(is_free() if promo else ~is_free())
-    return rows.groupBy(
-        to_local("closed_at", tz).alias("ts"), "patron_id", F.col("id").alias("bet_id"), is_free().alias("is_promo")
-    ).agg(F.sum("bet_amount_cents").alias("cents"))
+    by = [to_local("closed_at", tz).alias("ts"), "patron_id", F.col("id").alias("bet_id"), is_free().alias("is_promo")]
+    return _staked(rows, by, summed)
 
 
 def voided_by_day(bets: DataFrame, window: ReportWindow | None, *, tz: str) -> DataFrame:

@@ -19,7 +19,6 @@ from tallybook.operators.ledger import FREE_BET_TYPE, LegPair
 POSTING = (
     "ledger_transaction_id",
     "patron_transaction_id",
-    "p_id",
     "a_patron_id",
     "bet_history_id",
     "p_bet_id",
@@ -27,7 +26,6 @@ POSTING = (
     "a_type",
     "p_type",
     "t_type",
-    "gaming_state",
     "adjustment_reason",
     "adjustment_type",
     "debit_cents",

@@ -208,23 +208,30 @@ def paired_legs(
     return legs.repartition("ledger_transaction_id").distinct()
 
 
-def match_pairs(legs: DataFrame, by: Sequence[str | Column]) -> DataFrame:
+def match_pairs(legs: DataFrame, by: Sequence[str | Column], summed: bool = True) -> DataFrame:
     """Paired legs matched within transaction and amount, the debits summed by keys.
 
     Equal amounts match many-to-many; every debit is weighted by the credits it meets. The legs are already
-    together, so nothing is exchanged before the sums.
+    together, so nothing is exchanged before the sums; with ``summed`` off nothing is at all, and every matched
+    debit is a row.
     """
     together = Window.partitionBy("flow", "ledger_transaction_id", "cents")
     met = legs.withColumn("_partners", F.sum(F.when(F.col("is_debit"), 0).otherwise(1)).over(together))
     matched = met.where(F.col("is_debit") & (F.col("_partners") > 0))
-    return matched.groupBy(*by).agg(F.sum(F.col("cents") * F.col("_partners")).alias("cents"))
+    amount = F.col("cents") * F.col("_partners")
+    return matched.groupBy(*by).agg(F.sum(amount).alias("cents")) if summed else matched.select(*by, amount.alias("cents"))
 
 
 def matched(
-    ledger: DataFrame, pair: LegPair, by: Sequence[str | Column], extra: Sequence[str] = (), credits: DataFrame | None = None
+    ledger: DataFrame,
+    pair: LegPair,
+    by: Sequence[str | Column],
+    extra: Sequence[str] = (),
+    credits: DataFrame | None = None,
+    summed: bool = True,
 ) -> DataFrame:
     """Matched transfers of one kind, summed by keys (B06 and B07 in one pass)."""
-    return match_pairs(paired_legs(ledger, {"": pair}, extra, credits), by)
+    return match_pairs(paired_legs(ledger, {"": pair}, extra, credits), by, summed)
 
 
 def matched_transfers(
@@ -293,7 +300,7 @@ def as_moves(rows: DataFrame, *more: str | Column, tz: str) -> DataFrame:
 
     Sums of a stack need none before them, so a flow that is only added up has no shuffle of its own.
     """
-    net = F.col("credit_cents") - F.col("debit_cents")
+    net = F.coalesce("credit_cents", F.lit(0)) - F.coalesce("debit_cents", F.lit(0))
     return rows.select(
         to_local("t_changed_at", tz).alias("ts"), F.col("a_patron_id").alias("patron_id"), *more, net.alias("cents")
     )

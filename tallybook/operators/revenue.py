@@ -17,6 +17,7 @@ from tallybook.functions.labels import (
 )
 from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_dollars, exact_sum
 from tallybook.functions.periods import ReportWindow, bucket, to_local
+from tallybook.lineage import compute_once
 from tallybook.operators.ledger import ONTARIO, spread_key
 from tallybook.operators.measures import stack_measures, union_measures
 
@@ -236,9 +237,15 @@ def game_activity(
     """Wagers, wins and players per product, segment and game.
 
     ``stack`` holds one row per (ts, player, bet, transaction) and source. Bets take the market
-    dimension and casino rows the game dimension, so neither join meets the other's missing key.
+    dimension and casino rows the game dimension, so neither join meets the other's missing key. The stack is
+    summed per (player, bet, transaction) and stored first, so its sources are worked out once for both.
     """
     rows = stack.where(window.holds_local("ts")).join(players, "patron_id", "left_semi")
+    rows = compute_once(
+        rows.groupBy("patron_id", "bet_id", "ref_id").agg(
+            *[F.sum(m).cast(kind).alias(m) for m, kind in GAME_MEASURES.items()], F.max(F.col("num_wagers") > 0).alias("_active")
+        )
+    )
     on_game = wager_info.select(F.col("patron_transaction_id").alias("_tx"), "game_id")
     named = games.select(F.col("id").alias("_game"), F.col("name").alias("_name"), "game_provider_game_category")
     played = sessions.join(named, F.col("game_id") == F.col("_game"), "left").select(
@@ -248,13 +255,14 @@ def game_activity(
         "num_game_sessions",
         "total_gameplay_duration",
     )
-    spins = rows.where(F.col("bet_id").isNull()).withColumn("_key", spread_key(F.col("ref_id"), "patron_id", "ts"))
+    spins = rows.where(F.col("bet_id").isNull()).withColumn("_key", spread_key(F.col("ref_id"), "patron_id"))
     spins = spins.join(on_game, F.col("_key") == F.col("_tx"), "left")
-    spins = spins.withColumn("_game_key", spread_key(F.col("game_id"), "patron_id", "ts"))
+    spins = spins.withColumn("_game_key", spread_key(F.col("game_id"), "patron_id", "ref_id"))
     spins = spins.join(played, F.col("_game_key") == F.col("_played"), "left")
     nothing = F.lit(None).cast("string")
     casino = spins.select(
         "patron_id",
+        "_active",
         *GAME_MEASURES,
         F.lit("Casino").alias("ProductCode"),
         provider_segment("_category").alias("ProductSegment"),
@@ -269,6 +277,7 @@ def game_activity(
     none = F.lit(None).cast("bigint")
     sports = bets.select(
         "patron_id",
+        "_active",
         *GAME_MEASURES,
         F.lit("Betting").alias("ProductCode"),
         F.lit("Sports").alias("ProductSegment"),
@@ -282,7 +291,7 @@ def game_activity(
     # per player first: the distinct count becomes a plain count
     per_player = casino.unionByName(sports).groupBy(*keys, "patron_id").agg(
         *[F.sum(m).alias(m) for m in GAME_MEASURES],
-        F.max(F.col("num_wagers") > 0).alias("_active"),
+        F.max("_active").alias("_active"),
         F.max("num_game_sessions").alias("num_game_sessions"),
         F.max("total_gameplay_duration").alias("total_gameplay_duration"),
     )

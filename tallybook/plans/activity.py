@@ -73,7 +73,7 @@ def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_cat
         free_bets=bet_ops.free_bets_wagered(tables.bets, window, tz=tz),
         sports_net=as_moves(sports, bet_id().alias("bet_id"), "is_promo", tz=tz),
         settled=first_settlement(ledger, tables.bet_states, window, tz=tz, summed=False),
-        resettled=resettled.groupBy("ts", "patron_id", "bet_id", "is_promo").agg(F.sum("cents").alias("cents")),
+        resettled=resettled,
         voided=bet_ops.voided(tables.bets, window, tz=tz, promo=None),
         pending=bet_ops.open_exposure(tables.bets, window, promo=None),
         rollbacks=casino.casino_rollbacks(

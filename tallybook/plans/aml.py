@@ -31,7 +31,6 @@ from tallybook.operators.settlement import (
     RESETTLEMENT_TYPES,
     first_settlement,
     resettlement,
-    resettlement_rollup,
     union_transfers,
 )
 from tallybook.plans.finance import cash_bets, sports_payouts
@@ -116,22 +115,21 @@ def high_value_deposits(
     )
     # who is on the report matters, not how often
     once = players.withColumn("times", F.lit(1).cast("bigint"))
-    taken = alerts.withdrawal_activity(mine, tz=tz, by_month=True, players=once, credit_ledger=house, collapse=collapse)
-    lt_taken = alerts.withdrawal_activity(
-        mine, tz=tz, by_month=False, players=once, prefix="lt_", credit_ledger=house, collapse=collapse
-    )
+    refs = compute_once(alerts.withdrawal_refs(mine, tz=tz, players=once, credit_ledger=house))
+    taken = alerts.withdrawal_totals(refs, by_month=True, collapse=collapse)
+    lt_taken = alerts.withdrawal_totals(refs, by_month=False, prefix="lt_", collapse=collapse)
     lt_given = alerts.lifetime_deposits(mine, once, floor=lifetime_floor).drop("ranks")
 
     stack = revenue.sports_stack(
         union_transfers(
-            _per_second(cash_bets(mine, free, tz, SPORTS_AND_CASINO_BETS, credits=house)),
-            _per_second(_weighted(bet_ops.free_bets_wagered(tables.bets, None, tz=tz), players, False)),
+            _per_second(cash_bets(mine, free, tz, SPORTS_AND_CASINO_BETS, credits=house, summed=False)),
+            _per_second(_weighted(bet_ops.free_bets_wagered(tables.bets, None, tz=tz, summed=False), players, False)),
         ),
-        _per_second(_weighted(bet_ops.voided(tables.bets, None, tz=tz), players, False)),
-        _per_second(_weighted(resettlement_rollup(resettlement(mine, tables.bet_states, None, tz=tz)), players)),
+        _per_second(_weighted(bet_ops.voided(tables.bets, None, tz=tz, summed=False), players, False)),
+        _per_second(_weighted(resettlement(mine, tables.bet_states, None, tz=tz), players)),
         union_transfers(
-            _per_second(_weighted(sports_payouts(mine, tz, PAYOUT_TYPES), players)),
-            _per_second(first_settlement(mine, tables.bet_states, None, tz=tz)),
+            _per_second(_weighted(sports_payouts(mine, tz, PAYOUT_TYPES, summed=False), players)),
+            _per_second(first_settlement(mine, tables.bet_states, None, tz=tz, summed=False)),
         ),
     )
     stack = stack.join(tables.users.select("patron_id"), "patron_id", "left_semi")
@@ -235,32 +233,25 @@ def non_earning_occupation(
     lifetime = bet_ops.bet_activity(
         repeated, [F.col("patron_id")], cash_excludes_free=False, prefix="lt_", free_default=0
     )
-    taken = alerts.withdrawal_activity(period, tz=tz, by_month=True, players=players, cut_credits=True, collapse=collapse)
-    lt_taken = alerts.withdrawal_activity(
-        period,
-        tz=tz,
-        by_month=False,
-        players=players,
-        weigh_matched=True,
-        cut_credits=True,
-        wire_ledger=mine,
-        prefix="lt_",
-        collapse=collapse,
+    refs = compute_once(
+        alerts.withdrawal_refs(period, tz=tz, players=players, cut_credits=True, wire_ledger=mine, within=window)
     )
+    taken = alerts.withdrawal_totals(refs, by_month=True, collapse=collapse)
+    lt_taken = alerts.withdrawal_totals(refs, by_month=False, weigh_matched=True, prefix="lt_", collapse=collapse)
     lt_given = alerts.lifetime_deposits(mine, players, floor=floor).drop("ranks")
 
     own_bets = tables.bets.join(players, "patron_id", "left_semi")
     free = compute_once(free_bet_ids_posted(own_bets, ledger, window))
-    first = first_settlement(mine, tables.bet_states, window, tz=tz)
+    first = first_settlement(mine, tables.bet_states, window, tz=tz, summed=False)
     stack = revenue.sports_stack(
         union_transfers(
-            _per_second(cash_bets(period, free, tz, SPORTS_AND_CASINO_BETS)),
-            _per_second(bet_ops.free_bets_wagered(own_bets, window, tz=tz)),
+            _per_second(cash_bets(period, free, tz, SPORTS_AND_CASINO_BETS, summed=False)),
+            _per_second(bet_ops.free_bets_wagered(own_bets, window, tz=tz, summed=False)),
         ),
-        _per_second(_weighted(bet_ops.voided(own_bets, window, tz=tz), players)),
-        _per_second(_weighted(resettlement_rollup(resettlement(mine, tables.bet_states, window, tz=tz)), players)),
+        _per_second(_weighted(bet_ops.voided(own_bets, window, tz=tz, summed=False), players)),
+        _per_second(_weighted(resettlement(mine, tables.bet_states, window, tz=tz), players)),
         union_transfers(
-            _per_second(_weighted(sports_payouts(period, tz, PAYOUT_TYPES), players)),
+            _per_second(_weighted(sports_payouts(period, tz, PAYOUT_TYPES, summed=False), players)),
             _per_second(_weighted(first, players, False)),
         ),
     )

@@ -19,12 +19,12 @@ from tallybook.operators.ledger import (
     SPORTS_BETS,
     SPORTS_BETS_BY_TX_TYPE,
     SPORTS_PAYOUT_TYPES,
+    as_moves,
     bet_id,
     exclude,
     free_bet_ids,
     in_state,
     matched,
-    net_movement,
     on_customer,
     real_players,
 )
@@ -33,7 +33,6 @@ from tallybook.operators.measures import stack_measures
 from tallybook.operators.settlement import (
     first_settlement,
     resettlement,
-    resettlement_rollup,
     union_transfers,
 )
 from tallybook.operators.snapshots import latest_settlement
@@ -42,12 +41,13 @@ from tallybook.sources.catalog import Catalog
 
 
 def cash_bets(
-    ledger: DataFrame, free: DataFrame, tz: str, pair=SPORTS_BETS, *, credits: DataFrame | None = None
+    ledger: DataFrame, free: DataFrame, tz: str, pair=SPORTS_BETS, *, credits: DataFrame | None = None, summed: bool = True
 ) -> DataFrame:
     """Matched stakes of bets outside the free-bet set, per (ts, player, bet).
 
     ``credits`` is the ledger the credit legs come from where only the debit legs are cut, to a window
-    or to players.
+    or to players. This and the other flows with ``summed`` off give rows for a stack to add up, and have no
+    shuffle of their own for it.
     """
 
     def staked(rows: DataFrame) -> DataFrame:
@@ -55,15 +55,13 @@ def cash_bets(
         return exclude(rows, free, "_bet", "bet_id").drop("_bet")
 
     by = [to_local("posted_at", tz).alias("ts"), "patron_id", F.col("ref_id").alias("bet_id")]
-    return matched(staked(ledger), pair, by, credits=None if credits is None else staked(credits))
+    return matched(staked(ledger), pair, by, credits=None if credits is None else staked(credits), summed=summed)
 
 
-def sports_payouts(ledger: DataFrame, tz: str, p_types=SPORTS_PAYOUT_TYPES) -> DataFrame:
+def sports_payouts(ledger: DataFrame, tz: str, p_types=SPORTS_PAYOUT_TYPES, *, summed: bool = True) -> DataFrame:
     """Cash-outs, payouts and lost bets on the customer side, per (ts, player, bet)."""
-    return net_movement(
-        ledger.where(on_customer(*p_types)),
-        [to_local("t_changed_at", tz).alias("ts"), F.col("a_patron_id").alias("patron_id"), bet_id().alias("bet_id")],
-    )
+    rows = as_moves(ledger.where(on_customer(*p_types)), bet_id().alias("bet_id"), tz=tz)
+    return rows.groupBy("ts", "patron_id", "bet_id").agg(F.sum("cents").alias("cents")) if summed else rows
 
 
 def _stated(rows: DataFrame, *, state: str | None = ONTARIO, wager: str = "ref_id") -> DataFrame:
@@ -97,12 +95,15 @@ def results_detail_with_jackpots(
 
     free = _free_in(ledger, tables.accounting, free_index)
     sports = revenue.sports_stack(
-        union_transfers(cash_bets(ledger, free, tz), bet_ops.free_bets_wagered(tables.bets, window, tz=tz)),
-        bet_ops.voided(tables.bets, window, tz=tz),
-        resettlement_rollup(resettlement(ledger, tables.bet_states, window, tz=tz)),
         union_transfers(
-            sports_payouts(ledger, tz),
-            first_settlement(ledger, tables.bet_states, window, tz=tz, state=ONTARIO),
+            cash_bets(ledger, free, tz, summed=False),
+            bet_ops.free_bets_wagered(tables.bets, window, tz=tz, summed=False),
+        ),
+        bet_ops.voided(tables.bets, window, tz=tz, summed=False),
+        resettlement(ledger, tables.bet_states, window, tz=tz),
+        union_transfers(
+            sports_payouts(ledger, tz, summed=False),
+            first_settlement(ledger, tables.bet_states, window, tz=tz, state=ONTARIO, summed=False),
         ),
     )
 
@@ -173,7 +174,7 @@ def results_detail_without_jackpots(
     ledger = stored_window(tables.accounting, window)
     free = free_bets if free_bets is not None else _free_in(ledger, tables.accounting, free_index)
     if free_bets_wagered is None:
-        free_bets_wagered = bet_ops.free_bets_wagered(tables.bets, window, tz=tz)
+        free_bets_wagered = bet_ops.free_bets_wagered(tables.bets, window, tz=tz, summed=False)
     if resettled is None:
         resettled = resettlement(ledger, tables.bet_states, window, tz=tz)
     if free_rounds is None:
@@ -188,13 +189,13 @@ def results_detail_without_jackpots(
             **rollback,
         )
     sports = revenue.sports_stack(
-        union_transfers(cash_bets(ledger, free, tz), free_bets_wagered),
-        bet_ops.voided(tables.bets, window, tz=tz),
-        resettlement_rollup(resettled),
+        union_transfers(cash_bets(ledger, free, tz, summed=False), free_bets_wagered),
+        bet_ops.voided(tables.bets, window, tz=tz, summed=False),
+        resettled,
         union_transfers(
-            sports_payouts(ledger, tz),
+            sports_payouts(ledger, tz, summed=False),
             first_settlement(
-                ledger, tables.bet_states, window, tz=tz, state=ONTARIO, later_states=later_states
+                ledger, tables.bet_states, window, tz=tz, state=ONTARIO, later_states=later_states, summed=False
             ),
         ),
     )
@@ -262,18 +263,20 @@ def ggr_by_product(
     voids = bet_ops.voided_by_day(_of_players(tables.bets, players, "patron_id"), filed, tz=tz)
     # only the debit's day counts; its credit may be posted in another one
     any_day = _of_players(in_state(tables.accounting, ONTARIO), players, "p_patron_id")
-    placed = cash_bets(by_player, free, tz, SPORTS_BETS_BY_TX_TYPE, credits=any_day)
+    placed = cash_bets(by_player, free, tz, SPORTS_BETS_BY_TX_TYPE, credits=any_day, summed=False)
     paid_rows = exclude(by_player.withColumn("_bet", bet_id()), free_bets, "_bet", "bet_id").drop("_bet")
     # of the two settlement branches the first checks the posting's player, the second its account
-    settled_first = first_settlement(by_player, tables.bet_states, window, tz=tz).where("is_first")
-    settled_later = first_settlement(by_account, tables.bet_states, window, tz=tz).where("not is_first")
-    paid = union_transfers(sports_payouts(paid_rows, tz), settled_first, settled_later)
+    settled_first = first_settlement(by_player, tables.bet_states, window, tz=tz, summed=False).where("is_first")
+    settled_later = first_settlement(by_account, tables.bet_states, window, tz=tz, summed=False).where("not is_first")
+    paid = union_transfers(sports_payouts(paid_rows, tz, summed=False), settled_first, settled_later)
 
     in_report = ReportWindow(window.start, min(window.end, filed.end), tz)
     wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, in_report, tz=tz, game=())
     wagers = _of_players(wagers, players, "patron_id")
     payouts = casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz)
-    undone = matched(by_player, CASINO_ROLLBACKS_BY_ID, [to_local("posted_at", tz).alias("ts")], credits=any_day)
+    undone = matched(
+        by_player, CASINO_ROLLBACKS_BY_ID, [to_local("posted_at", tz).alias("ts")], credits=any_day, summed=False
+    )
 
     model = stored_jackpots(tables, window.end_utc)
     named = tables.wager_and_game_info.select(F.col("patron_transaction_id").alias("ref_id"), "game_name")
