@@ -7,7 +7,8 @@ free bets, is reached by transaction id in one more pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +37,15 @@ POSTING = (
 SPREAD = 1024
 
 
-def player_postings(ledger: DataFrame, players: DataFrame, wanted: Column) -> DataFrame:
+def player_postings(ledger: DataFrame, players: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
     """The players' postings of any wanted kind, in the columns flows read; stored.
 
-    ``players`` has one row per player, so rows are neither lost nor repeated.
+    ``wanted`` says of each id column which kinds of postings are read by it; in others it stays empty, which
+    is most of what a copy costs. ``players`` has one row per player, so rows are neither lost nor repeated.
     """
     own = players.select(F.col("patron_id").alias("a_patron_id"))
-    return compute_once(ledger.where(wanted).select(*POSTING).join(own, "a_patron_id", "left_semi"))
+    rows = ledger.where(reduce(Column.__or__, wanted.values())).join(own, "a_patron_id", "left_semi")
+    return compute_once(rows.select(*[F.when(wanted[c], F.col(c)).alias(c) if c in wanted else c for c in POSTING]))
 
 
 def reached_postings(ledger: DataFrame, mine: DataFrame, pairs: Sequence[LegPair], *, free_bets: bool = False) -> DataFrame:

@@ -40,11 +40,16 @@ PAYOUT_TYPES = (*SPORTS_PAYOUT_TYPES, "casino_payout")
 PERIOD = "transaction_period"
 
 
-def _monitored() -> Column:
-    """Postings that any flow of these reports reads."""
+def _monitored() -> dict[str, Column]:
+    """Postings that any flow of these reports reads, by the id it reads them by."""
     legs = [pair.is_leg(side) for pair in (WITHDRAWALS, SPORTS_AND_CASINO_BETS) for side in ("debit", "credit")]
-    flows = alerts.is_deposit() | wire(WIRE_WITHDRAWAL, AML_WIRE_REASONS) | on_customer(*PAYOUT_TYPES)
-    return reduce(Column.__or__, legs, flows | F.col("p_type").isin(*RESETTLEMENT_TYPES))
+    taken = F.col(WITHDRAWALS.type_column).isin(*WITHDRAWALS.types)
+    return {
+        "patron_transaction_id": alerts.is_deposit() | wire(WIRE_WITHDRAWAL, AML_WIRE_REASONS) | taken,
+        "ledger_transaction_id": reduce(Column.__or__, legs),
+        "bet_history_id": F.col("p_type").isin(*RESETTLEMENT_TYPES),
+        "p_vegas_bet_id": on_customer(*PAYOUT_TYPES) | F.col("p_type").isin(*RESETTLEMENT_TYPES, *SPORTS_AND_CASINO_BETS.types),
+    }
 
 
 def _weighted(rows: DataFrame, players: DataFrame, on: bool = True) -> DataFrame:
