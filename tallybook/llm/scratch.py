@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into arrays at once; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = (1 << 20) - 1
 
 
 def folder(spark: SparkSession) -> str:

@@ -8,6 +8,7 @@ stretch follows from two prefix sums, so n-grams of every length cost the same.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -23,7 +24,8 @@ LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Powers that a worker keeps; longer sequences make theirs anew.
+_KEPT = 1 << 20
 
 
 def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -34,15 +36,24 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    made = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(n, base, np.uint64)
+        steps[:1] = 1
+        made.append(np.cumprod(steps, out=steps))
+    return made[0], made[1]
+
+
+@lru_cache(maxsize=1)
+def _kept() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_KEPT)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse."""
-    if len(_POWERS[0]) < n:
-        size = 1 << max(16, int(n).bit_length())
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.cumprod(steps)
-    return _POWERS[0][:n], _POWERS[1][:n]
+    """The first n powers of the base and of its inverse; 16 MB of them are kept."""
+    up, down = _kept() if n <= _KEPT else _powers(n)
+    return up[:n], down[:n]
 
 
 class Stretches:
