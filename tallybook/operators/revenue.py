@@ -211,6 +211,7 @@ def player_ggr(
     return weighted.groupBy("patron_id").agg(F.sum(F.col("cents") * weight).alias("ggr_cents"))
 
 
+GAME_KEYS = ["ProductCode", "ProductSegment", "Game", "BetTypeA", "BetTypeB"]
 GAME_MEASURES = {
     "num_wagers": CENTS,
     "wagers_game": CENTS,
@@ -287,7 +288,7 @@ def game_activity(
         none.alias("num_game_sessions"),
         none.alias("total_gameplay_duration"),
     )
-    keys = ["ProductCode", "ProductSegment", "Game", "BetTypeA", "BetTypeB"]
+    keys = GAME_KEYS
     # per player first: the distinct count becomes a plain count
     per_player = casino.unionByName(sports).groupBy(*keys, "patron_id").agg(
         *[F.sum(m).alias(m) for m in GAME_MEASURES],

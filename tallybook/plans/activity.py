@@ -34,7 +34,7 @@ from tallybook.operators.ledger import (
 from tallybook.operators.measures import flow_is, stack_measures, union_measures
 from tallybook.operators.profiles import status_flags
 from tallybook.operators.regulator import SITE_ID
-from tallybook.operators.revenue import GAME_MEASURES, game_activity
+from tallybook.operators.revenue import GAME_KEYS, GAME_MEASURES, game_activity
 from tallybook.operators.settlement import first_settlement, resettlement
 from tallybook.plans.finance import cash_bets, stored_window
 from tallybook.plans.models import stored_jackpots
@@ -362,8 +362,8 @@ def player_activity(
     )
 
 
-def game_report(tables: Catalog, window: ReportWindow) -> DataFrame:
-    """Game activity of the period."""
+def game_report(tables: Catalog, window: ReportWindow, *, ordered: bool = False) -> DataFrame:
+    """Game activity of the period (R04); ``ordered`` sorts by the seven key columns, missing values last."""
     tz = window.tz
     ledger = stored_window(tables.accounting, window, ONTARIO)
     f = _flows(tables, window, ledger, with_category=False)
@@ -427,7 +427,7 @@ def game_report(tables: Catalog, window: ReportWindow) -> DataFrame:
         tables.wager_and_game_info.join(players, "patron_id", "left_semi"), tables.patron_transactions, window
     )
     played = sessions.session_summary(by_game, "game_id", "casino_session_id", window)
-    return game_activity(
+    out = game_activity(
         stack,
         tables.wager_and_game_info,
         bet_and_market_info(tables.bets, tables.legs),
@@ -437,3 +437,4 @@ def game_report(tables: Catalog, window: ReportWindow) -> DataFrame:
         window,
         SITE_ID,
     )
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in out.columns[:2] + GAME_KEYS]) if ordered else out

@@ -6,8 +6,11 @@ import re
 import pytest
 from pyspark.sql import DataFrameWriter
 
-from tallybook.operators.ledger import CASINO_WAGERS, SPORTS_BETS, WITHDRAWALS, matched_transfers
-from tallybook.plans import finance
+from tallybook.operators import bets, casino
+from tallybook.operators.ledger import CASINO_WAGERS, SPORTS_BETS, WITHDRAWALS, free_bet_ids, matched_transfers
+from tallybook.operators.revenue import GAME_KEYS
+from tallybook.operators.settlement import resettlement, resettlement_rollup
+from tallybook.plans import activity, finance
 from testbed.compare import compare, connect
 from testbed.oracle import build
 from testbed.queries import PERIOD, QUERIES
@@ -81,3 +84,30 @@ def test_results_detail_in_its_final_order(spark, report):
     rows = report(catalog(spark, SF), PERIOD, ordered=True).collect()
     keys = [[(v is None, v or "") if v is None or isinstance(v, str) else (False, v) for v in r[:11]] for r in rows]
     assert rows and keys == sorted(keys)
+
+
+def test_game_report_in_its_final_order(spark):
+    rows = activity.game_report(catalog(spark, SF), PERIOD, ordered=True).collect()
+    keys = [[(r[c] is None, r[c] or "") for c in r.__fields__[:2] + GAME_KEYS] for r in rows]
+    assert rows and keys == sorted(keys)
+
+
+def test_plain_results_detail_takes_the_models_it_is_given(spark):
+    t = catalog(spark, SF)
+    own = finance.results_detail_without_jackpots(t, PERIOD)
+    given = finance.results_detail_without_jackpots(
+        t,
+        PERIOD,
+        free_bets=free_bet_ids(t.accounting),
+        free_bets_wagered=bets.free_bets_wagered(t.bets, PERIOD, tz=PERIOD.tz),
+        resettled=resettlement_rollup(resettlement(t.accounting, t.bet_states, PERIOD, tz=PERIOD.tz)),
+        free_rounds=casino.free_rounds_wagered(t.casino_wagers, t.patron_transactions, PERIOD, tz=PERIOD.tz),
+        free_rounds_rolled_back=casino.casino_rollbacks(
+            t.casino_wager_rollbacks, t.wager_and_game_info, PERIOD, tz=PERIOD.tz, patron_transactions=t.patron_transactions, promo=True
+        ),
+        later_states=t.bet_states,
+    )
+    assert given.exceptAll(own).isEmpty() and own.exceptAll(given).isEmpty()
+    # what is given is what is used
+    none = finance.results_detail_without_jackpots(t, PERIOD, free_rounds=casino.free_rounds_wagered(t.casino_wagers, t.patron_transactions, PERIOD, tz=PERIOD.tz).where("false"))
+    assert none.count() < own.count()
