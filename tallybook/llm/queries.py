@@ -113,4 +113,44 @@ QUERIES = {
     "op13_spelling": op13_spelling,
 }
 
-ORACLE: dict[str, str] = {}
+#: Windows of 35 words that start at more than one place, and the words they leave uncovered.
+_WINDOWS = """
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), places AS (
+    SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs
+), starts AS (
+    SELECT doc_id, i, words[i] AS word,
+           CASE WHEN i + 34 <= len(words) THEN array_to_string(words[i:i + 34], ' ') END AS run
+    FROM places
+), repeated AS (
+    SELECT run FROM starts WHERE run IS NOT NULL GROUP BY run HAVING count(*) > 1
+), marked AS (
+    SELECT doc_id, i, word, CAST(r.run IS NOT NULL AS INT) AS hit FROM starts s LEFT JOIN repeated r ON s.run = r.run
+), covered AS (
+    SELECT doc_id, i, word, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM marked
+), sums AS (
+    SELECT doc_id, count(*) AS n_words, CAST(sum(gone) AS BIGINT) AS n_removed,
+           string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept
+    FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN sums s ON s.doc_id = d.doc_id
+"""
+
+_RECORDS = """
+WITH held AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS response_id FROM held
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> response_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> response_id THEN response_id END AS refers_to
+FROM firsts
+"""
+
+#: SQL for the queries that it can express at the size of the correctness tables.
+ORACLE: dict[str, str] = {"op1_substring_dedup": _WINDOWS, "op10_warc": _RECORDS}

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -289,3 +290,15 @@ def test_long_texts_are_read_in_parts(monkeypatch):
     whole = list(spelling.runs(text))
     monkeypatch.setattr(spelling, "CHUNK", 7)
     assert list(spelling.runs(text)) == whole
+
+
+@pytest.mark.parametrize("key", queries.ORACLE)
+def test_registered_query_is_what_sql_says(spark, key):
+    con = duckdb.connect()
+    for name in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    answer = con.execute(queries.ORACLE[key])
+    columns = [d[0] for d in answer.description]
+    got = queries.QUERIES[key](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(answer.fetchall())
