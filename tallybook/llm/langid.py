@@ -40,10 +40,13 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def codewords(n: int) -> np.ndarray:
-    """A row of +1 and -1 for each of n languages: every split in two for up to five, else random distinct splits."""
+    """A row of +1 and -1 for each of n languages: every split in two for up to six, else random distinct ones.
+
+    Six languages have ten splits into equal halves, fewer than are wanted; from seven on there are enough.
+    """
     if n < 2:
         return np.ones((n, 1))
-    if n <= 5:
+    if n <= 6:
         splits = np.arange(1, 1 << (n - 1))
         bits = (splits[None, :] >> np.arange(n)[:, None]) & 1
         return np.where(bits == 1, 1.0, -1.0)

@@ -13,7 +13,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tallybook.llm import align, queries, spelling, subword, tiers
+from tallybook.llm import align, langid, queries, spelling, subword, tiers
 from tallybook.llm.bpe import byte_symbols
 
 SF = "/root/testdata/sf0.001"
@@ -302,3 +302,10 @@ def test_registered_query_is_what_sql_says(spark, key):
     got = queries.QUERIES[key](spark, SF)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(answer.fetchall())
+
+
+@pytest.mark.parametrize("n", range(1, 21))
+def test_every_number_of_languages_has_codewords(n):
+    code = langid.codewords(n)
+    assert len(code) == n and len({tuple(row) for row in code.tolist()}) == n
+    assert n == 1 or all(set(column) == {-1.0, 1.0} for column in code.T.tolist())
