@@ -23,11 +23,14 @@ SHINGLE, SIMILAR, LEAST = 8, 0.8, 10
 BANDS, ROWS = 12, 4
 #: Lines from which a band gets another hub, and hubs that a band gets at most before the rest is joined exactly.
 LONG, HUBS = 16, 4
+#: The least and the largest parity bitmap of a line, as powers of two; between them it has as many bits as shingles.
+LOG_PARITY = (8, 14)
 #: Lines a task remembers so as not to send them again; only speed depends on it.
 REMEMBERED = 400_000
 
 NEWLINE = np.zeros(256, bool)
 NEWLINE[0x0A] = True
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _PROBES = np.stack([np.random.default_rng(k).permutation(BANDS * ROWS) for k in range(BANDS * ROWS)])
 
 
@@ -112,11 +115,19 @@ def _bands(wanted: Bits):
 
 
 def _texts(wanted: Bits):
+    """(hash, line, shingles, parity bitmap) of the lines that the bitmap may hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, start, end, hashes in _new_lines(batches):
             held = np.flatnonzero(wanted.has(hashes))
-            texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(start[held].tolist(), end[held].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[held].view(np.int64)), pa.array(texts, pa.string())], names=["h", "line"])
+            texts = pa.array([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(start[held].tolist(), end[held].tolist())], pa.string())
+            sizes, bits = np.zeros(len(held), np.int64), []
+            for _, line, values in _sets(texts):
+                n = np.bincount(line)
+                sizes[len(bits) : len(bits) + len(n)] = n
+                bits.extend(_parities(line, values, n))
+            columns = [pa.array(hashes[held].view(np.int64)), texts, pa.array(sizes), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "line", "n", "bits"])
 
     return run
 
@@ -131,14 +142,77 @@ def similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y)
 
 
-def _alike(similar: float):
+def _need(a: str, b: str, similar: float) -> str:
+    """SQL for the least number of common shingles with which lines of a and b shingles are similar."""
+    return f"ceil({similar}D * ({a} + {b}) / {1 + similar}D - 1e-9)"
+
+
+def _parities(line: np.ndarray, values: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For each line one bit per bucket of its shingles: whether an odd number fell into it."""
+    wide = np.uint64(1) << np.clip(np.ceil(np.log2(np.maximum(n, 1))), *LOG_PARITY).astype(np.uint64)
+    ends = np.cumsum((wide >> np.uint64(6)).astype(np.int64))
+    flat = np.zeros(ends[-1], np.uint64)
+    bit = mix(values, 6) & (wide[line] - np.uint64(1))
+    first = ends - (wide >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(flat, first[line] + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return [flat[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist())]
+
+
+def _differing(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Bits in which two parity bitmaps differ, the wider folded to the other's width: at most the shingles that only one line has."""
+    widths = np.array([(len(x), len(y)) for x, y in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(left), np.int64)
+    for pair in np.unique(widths, axis=0):
+        at = np.flatnonzero((widths == pair).all(axis=1))
+        folded = [
+            np.bitwise_xor.reduce(np.frombuffer(b"".join(side[k] for k in at.tolist()), np.uint64).reshape(len(at), -1, pair.min() // 8), axis=1)
+            for side in (left, right)
+        ]
+        out[at] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _close(similar: float):
+    """Pairs whose parity bitmaps leave room for similarity."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("la").to_pylist(), batch.column("lb").to_pylist()
-            keep = []
-            for a, b in zip(left, right, strict=True):
-                keep.append(a == b or similarity(a, b) >= similar)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            room = both - 2 * np.ceil(similar * both / (1 + similar) - 1e-9)
+            differing = _differing(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())
+            yield batch.select(["a", "b"]).filter(pa.array(differing <= room))
+
+    return run
+
+
+def _jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """The similarity of each pair of lines, a few megabytes of them."""
+    sizes, keys, owners = np.zeros(len(left), np.int64), [], []
+    for column in (left, right):
+        for low, line, values in _sets(column):
+            sizes += np.bincount(low + line, minlength=len(left))
+            owners.append(low + line)
+            # a shingle that both lines of a pair have is one value twice
+            keys.append(mix(values + (low + line).astype(np.uint64) * _SPREAD, 8))
+    keys, owners = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(keys)
+    twice = order[1:][keys[order[1:]] == keys[order[:-1]]]
+    common = np.bincount(owners[twice], minlength=len(left))
+    return common / (sizes - common)
+
+
+def _alike(similar: float):
+    """Pairs of lines whose sets of shingles have the similarity asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            ends = np.cumsum(sum(np.diff(bytes_of(whole.column(c))[1]) for c in ("la", "lb")))
+            low = 0
+            while low < whole.num_rows:
+                high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + (1 << 20), "right")))
+                batch = whole.slice(low, high - low)
+                yield batch.select(["a", "b"]).filter(pa.array(_jaccard(batch.column("la"), batch.column("lb")) >= similar))
+                low = high
 
     return run
 
@@ -240,20 +314,23 @@ def _rest(texts: DataFrame, similar: float) -> DataFrame:
     In a common order of the shingles, the first one that two similar lines share leaves both with enough
     shingles from there on; other places are not joined. What many lines quote stands last in the order, so a
     long template is joined only where a line consists of little else. Of two lines of one root none is sent:
-    one of a pair is always outside the root that most lines of the shingle have.
+    one of a pair is always outside the root that most lines of the shingle have. The joined places of a pair are
+    the first that it shares, so their number and what follows the last of them bound what it has in common.
     """
     levels = texts.sparkSession.sparkContext.broadcast(_levels(texts.select("line").mapInArrow(_weights, "c long, n long, bits binary")))
     cells = stored(texts.mapInArrow(_prefixes(levels, similar), "t long, h long, root long, n long, i long"))
     mixed = cells.groupBy("t", "root").agg(F.count(F.lit(1)).alias("rows"))
     mixed = mixed.groupBy("t").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    need = lambda a, b: f"ceil({similar}D * ({a} + {b}) / {1 + similar}D - 1e-9)"
+    need = lambda a, b: _need(a, b, similar)
     cells = stored(cells.join(mixed.select("t", "main"), "t").withColumn("early", F.expr(f"n - i >= {need('n', 'n')}")))
     pairs = []
-    for left, right in (("root <> main", "true"), ("true", "root <> main")):
+    for left, right in (("root <> main", "true"), ("root = main", "root <> main")):
         x, y = cells.where("early").where(left).alias("x"), cells.where(right).alias("y")
         both = x.join(y, F.expr(f"x.t = y.t and x.root <> y.root and x.n <= y.n and least(x.n - x.i, y.n - y.i) >= {need('x.n', 'y.n')}"))
-        pairs.append(both.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")))
-    return pairs[0].union(pairs[1]).distinct()
+        # of two lines of one length each may be x
+        pairs.append(both.where("x.n < y.n or x.h < y.h").selectExpr("x.h as a", "y.h as b", "x.n as na", "y.n as nb", "x.i as ia", "y.i as ib"))
+    counted = pairs[0].union(pairs[1]).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common"), F.max("ia").alias("ia"), F.max("ib").alias("ib"))
+    return counted.where(f"common + least(na - ia - 1, nb - ib - 1) >= {need('na', 'nb')}").select("a", "b")
 
 
 def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -269,11 +346,16 @@ def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     once = stored(once.where("low <> high").select("b"))
     rows = signed.mapInArrow(_bands(bitmap(once, "b")), "b long, h long").join(once, "b")
     rows = stored(rows.distinct())
-    lines = stored(texts.mapInArrow(_texts(bitmap(rows, "h")), "h long, line string").groupBy("h").agg(F.first("line").alias("line")))
+    lines = texts.mapInArrow(_texts(bitmap(rows, "h")), "h long, line string, n long, bits binary")
+    lines = stored(lines.groupBy("h").agg(*[F.first(c).alias(c) for c in ("line", "n", "bits")]))
 
     def alike(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(lines.toDF("a", "la"), "a").join(lines.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
-        return stored(full.mapInArrow(_alike(similar), "a long, b long"))
+        """Those of the pairs that are similar; texts are sent only of pairs that sizes and bitmaps leave."""
+        sides = [lines.selectExpr(f"h as {k}", f"n as n{k}", f"bits as p{k}") for k in "ab"]
+        sized = pairs.join(sides[0], "a").join(sides[1], "b").where(f"{_need('na', 'nb', similar)} <= least(na, nb)")
+        close = stored(sized.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_close(similar), "a long, b long"))
+        full = close.join(lines.selectExpr("h as a", "line as la"), "a").join(lines.selectExpr("h as b", "line as lb"), "b")
+        return stored(full.select("a", "b", "la", "lb").mapInArrow(_alike(similar), "a long, b long"))
 
     placed = rows.withColumn("root", F.col("h"))
     edges: DataFrame | None = None

@@ -179,6 +179,28 @@ def test_similar_lines_of_a_crowded_template_are_all_found(spark):
     assert got == {k: int(first_of[top(k)] != k) for k in range(len(text))} and sum(got.values()) >= 300
 
 
+def test_line_pairs_are_bounded_and_compared_as_strings_are():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    left = ["".join(chr(97 + k) for k in rng.integers(0, 4, int(rng.integers(1, 900)))) for _ in range(300)]
+    right = [x[: len(x) // 2] + "é" * (k % 3) + x[len(x) // 2 + k % 70 :] or "e" for k, x in enumerate(left)]
+    want = np.array([lines.similarity(x, y) for x, y in zip(left, right, strict=True)])
+    assert lines._jaccard(pa.array(left), pa.array(right)).tolist() == want.tolist()
+    bits = []
+    for side in (left, right):
+        _, line, values = next(lines._sets(pa.array(side)))
+        bits.append(lines._parities(line, values, np.bincount(line)))
+    sets = [[lines._shingles(x) for x in side] for side in (left, right)]
+    only_one = np.array([len(x ^ y) for x, y in zip(*sets, strict=True)])
+    differing = lines._differing(*bits)
+    assert (differing <= only_one).all() and (differing % 2 == only_one % 2).all() and differing[want < 0.5].min() > 0
+    a, b = (np.array([len(x) for x in side]) for side in sets)
+    pairs = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(range(300)), *map(pa.array, (a, b)), *(pa.array(x, pa.binary()) for x in bits)], names=["a", "b", "na", "nb", "pa", "pb"])
+    close = {x for batch in lines._close(0.8)(iter([pairs])) for x in batch.column("a").to_pylist()}
+    assert close >= set(np.flatnonzero(want >= 0.8).tolist()) and len(close) < 300
+
+
 def test_short_and_repeated_character_lines_go(spark, tmp_path):
     from tallybook.llm.queries import op5_line_dedup
 
