@@ -10,8 +10,8 @@ documents quote is multiplied only where a set consists of little else.
    goes another way, through a combining aggregate, so no task gets a heavy column whole.
 2. Long columns are joined with one row, the hub: of those the one with the fewest columns of its own. Sets
    that link with it are one component already, so their mutual products need not be looked at.
-3. Entries of the product between different components are accumulated from every column, and pairs go whose
-   count can't reach the overlap that their sizes ask for.
+3. Entries of the product between different components are accumulated from the columns that may be the first
+   of enough shared ones, and pairs go whose count and what follows can't reach the overlap their sizes ask for.
 4. What is left is checked, first by parity bitmaps that bound the symmetric difference, then by the exact
    product of the full rows.
 
@@ -285,23 +285,23 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     hubs = lists.groupBy("t", "q").agg(F.min(F.struct("novel", "c", "n", "i")).alias("h"), F.count(F.lit(1)).alias("rows"))
     hubs = hubs.where(f"rows >= {LONG}").select("t", "q", F.col("h.c").alias("b"), F.col("h.n").alias("m"), F.col("h.i").alias("j"))
     near = lists.join(hubs, ["t", "q"]).where(
-        f"c <> b and {_need('n', 'm')} <= least(n, m) and least(i, j) + 1 + least(n - i - 1, m - j - 1) >= {_need('n', 'm')}"
+        f"c <> b and least(n - i, m - j) >= {_need('n', 'm')}"
     )
     first = _linked(near.select(F.col("c").alias("a"), "b").distinct(), classes, texts, n)
     roots = stored(components(first.toDF("u", "v")))
 
     placed = cells.join(roots.toDF("c", "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     lists = stored(placed.drop("novel")).withColumn("q", F.explode(F.array("s", F.col("s") + 1)))
-    mixed = lists.groupBy("t", "q").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("root", F.struct("n", "c")).alias("main"))
-    mixed = stored(mixed.where("low <> high").select("t", "q", "main"))
+    mixed = lists.groupBy("t", "q", "root").agg(F.count(F.lit(1)).alias("rows"))
+    mixed = mixed.groupBy("t", "q").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+    mixed = stored(mixed.where("roots > 1").select("t", "q", "main"))
     rest = stored(lists.join(mixed, ["t", "q"]).select("t", "q", "c", "n", "i", "s", "root", (F.col("root") == F.col("main")).alias("major")))
     left, right = rest.where("not major").alias("x"), rest.alias("y")
     pairs = left.join(
         right,
         F.expr(
             "x.t = y.t and x.q = y.q and x.root <> y.root and (y.major or x.c < y.c) and greatest(x.s, y.s) = x.q"
-            f" and {_need('x.n', 'y.n')} <= least(x.n, y.n)"
-            f" and least(x.i, y.i) + 1 + least(x.n - x.i - 1, y.n - y.i - 1) >= {_need('x.n', 'y.n')}"
+            f" and least(x.n - x.i, y.n - y.i) >= {_need('x.n', 'y.n')}"
         ),
     )
     pairs = pairs.selectExpr(
