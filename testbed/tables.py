@@ -430,12 +430,8 @@ DERIVED: dict[str, str] = {
 }
 
 # tables many queries read are written once per session and read back as a stored table would be
-# they are sorted so that a filter on the leading columns skips pages of the file
-STORED = {
-    "accounting": ["p_type", "t_changed_at"],
-    "casino_tx": ["type", "tx_at"],
-    "wager_and_game_info": ["type", "transaction_timestamp_utc"],
-}
+# rows stay in the order they are made in: sorting them holds, and at size spills, whole tasks of wide rows
+STORED = ("accounting", "casino_tx", "wager_and_game_info")
 
 _REF = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
 
@@ -460,7 +456,7 @@ def _store(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> Dat
         if folder is None:
             return frame
         place = f"{folder}/tables-{application}/{re.sub(r'[^A-Za-z0-9.]', '_', sf_dir)}/{name}"
-        frame.sortWithinPartitions(*STORED[name]).write.mode("overwrite").parquet(place)
+        frame.write.mode("overwrite").parquet(place)
         _stored[key] = place
     return spark.read.parquet(_stored[key])
 
