@@ -24,5 +24,5 @@ def compute_once(df: DataFrame) -> DataFrame:
     knows the copy's size.
     """
     path = f"{shared_folder(df.sparkSession)}/once-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -456,7 +456,7 @@ def _store(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> Dat
         if folder is None:
             return frame
         place = f"{folder}/tables-{application}/{re.sub(r'[^A-Za-z0-9.]', '_', sf_dir)}/{name}"
-        frame.write.mode("overwrite").parquet(place)
+        frame.write.mode("overwrite").option("compression", "zstd").parquet(place)
         _stored[key] = place
     return spark.read.parquet(_stored[key])
 
