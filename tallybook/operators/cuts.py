@@ -1,4 +1,4 @@
-"""The ledger cut to a report's players, read once for all flows of the report.
+"""The ledger cut to what a report's flows read (R03, R04), or to its players (R10-R12), read once for all of them.
 
 Every flow of a driven report starts from the postings of the driver's players. They are taken in one narrow
 pass and stored. What a flow needs beyond them, the house's legs of the players' transactions and the ids of
@@ -37,6 +37,16 @@ POSTING = (
 SPREAD = 1024
 
 
+def flow_postings(ledger: DataFrame, ids: Mapping[str, Column], others: Column, columns: Sequence[str]) -> DataFrame:
+    """The postings that some flow reads, in the columns flows read; stored.
+
+    ``ids`` says of each id column which postings it is read of; in others it stays empty. It must not name a
+    column that a flow chooses its postings by. ``others`` are postings read without an id.
+    """
+    rows = ledger.where(reduce(Column.__or__, ids.values(), others))
+    return compute_once(rows.select(*[F.when(read, F.col(c)).alias(c) for c, read in ids.items()], *columns))
+
+
 def player_postings(ledger: DataFrame, players: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
     """The players' postings of any wanted kind, in the columns flows read; stored.
 

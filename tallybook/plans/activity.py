@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.labels import age_years, gender_code, postal_prefix
@@ -14,17 +16,22 @@ from tallybook.functions.periods import ReportWindow, bucket, in_window, moment,
 from tallybook.lineage import compute_once
 from tallybook.operators import balances, carry, casino, jackpots, sessions
 from tallybook.operators import bets as bet_ops
+from tallybook.operators.cuts import flow_postings
 from tallybook.operators.ledger import (
     CANCELLED_WITHDRAWALS,
     CASINO_WAGERS,
+    CUSTOMER_LIABILITY,
     ONTARIO,
+    SPORTS_BETS,
     SPORTS_PAYOUT_TYPES,
     WITHDRAWALS,
+    LegPair,
     as_moves,
     bet_id,
     cash_adjustment,
     deposit_flows,
     flag_promo,
+    in_state,
     is_any,
     matched_transfers,
     on_customer,
@@ -35,8 +42,8 @@ from tallybook.operators.measures import flow_is, stack_measures, union_measures
 from tallybook.operators.profiles import status_flags
 from tallybook.operators.regulator import SITE_ID
 from tallybook.operators.revenue import GAME_KEYS, GAME_MEASURES, game_activity
-from tallybook.operators.settlement import first_settlement, resettlement
-from tallybook.plans.finance import cash_bets, stored_window
+from tallybook.operators.settlement import RESETTLEMENT_TYPES, first_settlement, resettlement
+from tallybook.plans.finance import cash_bets
 from tallybook.plans.models import stored_jackpots
 from tallybook.operators.markets import bet_and_market_info
 from tallybook.sources.catalog import Catalog
@@ -60,6 +67,47 @@ class _Flows:
     model: DataFrame
 
 
+#: Columns that the flows choose and add up postings by.
+_POSTING = (
+    "a_patron_id",
+    "a_type",
+    "p_type",
+    "t_type",
+    "adjustment_reason",
+    "adjustment_type",
+    "debit_cents",
+    "credit_cents",
+    "t_changed_at",
+)
+
+
+def _read_postings(
+    ledger: DataFrame, window: ReportWindow, pairs: Mapping[str, LegPair], moved: Column | None = None
+) -> DataFrame:
+    """What the flows of ``_flows``, the report's own transfers and the ``moved`` postings read of the window; stored."""
+
+    def legs(*some: LegPair) -> Column:
+        sides = [(pair, side) for pair in some for side in ("debit", "credit")]
+        return reduce(Column.__or__, [pair.is_leg(side) & (F.col(f"{side}_cents") > 0) for pair, side in sides])
+
+    sports = on_customer(*SPORTS_PAYOUT_TYPES)
+    resettled = F.col("p_type").isin(*RESETTLEMENT_TYPES)
+    paid = (F.col("p_type") == "casino_payout") & (F.col("a_type") == CUSTOMER_LIABILITY)
+    of_bet = sports | resettled | legs(SPORTS_BETS)
+    by_ref = {ref: [p for p in pairs.values() if p.ref == ref] for ref in ("patron_transaction_id", "p_id")}
+    ids = {
+        "ledger_transaction_id": sports | legs(SPORTS_BETS, *pairs.values()),
+        "patron_transaction_id": paid,
+        "p_id": paid,
+        "bet_history_id": resettled,
+        "p_bet_id": of_bet,
+        "p_vegas_bet_id": of_bet,
+    }
+    ids |= {ref: ids[ref] | legs(*some) for ref, some in by_ref.items() if some}
+    rows = in_state(in_window(ledger, "t_changed_at", window), ONTARIO)
+    return flow_postings(rows, ids, F.lit(False) if moved is None else moved, _POSTING)
+
+
 def _flows(tables: Catalog, window: ReportWindow, ledger: DataFrame, *, with_category: bool) -> _Flows:
     tz = window.tz
     # a posting inside the window makes its free bet one "with a posting in the window", so the
@@ -139,19 +187,16 @@ def player_measures(
 ) -> DataFrame:
     """Every measure of the player report per (gaming day, player)."""
     tz = window.tz
-    ledger = stored_window(tables.accounting, window, ONTARIO)
+    given, taken, changed = is_any(deposit_flows()), is_any(withdrawal_flows()), cash_adjustment()
+    pairs = {"withdrawn": WITHDRAWALS, "cancelled": CANCELLED_WITHDRAWALS, "casino": CASINO_WAGERS}
+    ledger = _read_postings(tables.accounting, window, pairs, given | taken | changed)
     f = _flows(tables, window, ledger, with_category=True)
 
-    given, taken, changed = is_any(deposit_flows()), is_any(withdrawal_flows()), cash_adjustment()
     moved = as_moves(
         ledger.where(given | taken | changed), given.alias("given"), taken.alias("taken"), changed.alias("changed"), tz=tz
     )
     won = as_moves(casino.label_payouts(ledger, tables.casino_payouts).where(F.col("award_id").isNull()), tz=tz)
-    matched = matched_transfers(
-        ledger,
-        {"withdrawn": WITHDRAWALS, "cancelled": CANCELLED_WITHDRAWALS, "casino": CASINO_WAGERS},
-        tz,
-    )
+    matched = matched_transfers(ledger, pairs, tz)
     casino_wagers = casino.with_game(
         matched.where(flow_is("casino")), tables.wager_and_game_info, ["game_category"]
     ).withColumnRenamed("game_category", "category")
@@ -365,7 +410,7 @@ def player_activity(
 def game_report(tables: Catalog, window: ReportWindow, *, ordered: bool = False) -> DataFrame:
     """Game activity of the period (R04); ``ordered`` sorts by the seven key columns, missing values last."""
     tz = window.tz
-    ledger = stored_window(tables.accounting, window, ONTARIO)
+    ledger = _read_postings(tables.accounting, window, {"casino": CASINO_WAGERS})
     f = _flows(tables, window, ledger, with_category=False)
     players = real_players(tables.users)
     wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, window, tz=tz, game=())

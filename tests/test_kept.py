@@ -144,3 +144,38 @@ def test_pairs_leave_out_legs_without_a_transaction_and_weigh_equal_amounts(spar
     assert collected(L.matched(rows, L.SPORTS_BETS, ["patron_id", "ref_id"])) == [("p1", "b", 10), ("p2", "b", 10)]
     apart = L.matched(rows.where("debit_cents > 0"), L.SPORTS_BETS, ["patron_id"], credits=rows.where("a_patron_id = 'other'"))
     assert collected(apart) == [("p1", 5), ("p2", 5)]
+
+
+def test_stored_postings_are_those_the_player_report_reads(spark):
+    from tallybook.functions.periods import ReportWindow
+    from tallybook.plans import activity
+
+    customer, house = "customer_liability", "sportsbook_house_wins"
+    at_noon = {"t_changed_at": at("2023-01-10 12:00"), "p_bet_id": "b", "bet_history_id": "h"}
+    rows = ledger(
+        spark,
+        {**at_noon, "p_type": "sportsbook_payout", "a_type": house, "debit_cents": 1},
+        {**at_noon, "p_type": "casino_free_wager", "debit_cents": 2},
+        {**at_noon, "p_type": "sportsbook_payout", "t_type": "sportsbook_payout", "a_type": customer, "credit_cents": 3},
+        {**at_noon, "p_type": "sportsbook_bet_void", "a_type": house, "debit_cents": 4},
+        {**at_noon, "p_type": "deposit", "t_type": None, "credit_cents": 5},
+        # a wire by its reason and a withdrawal by its type, no adjustment
+        {**at_noon, "p_type": "amendment", "t_type": "withdrawal", "adjustment_reason": "9998", "debit_cents": 6},
+        {**at_noon, "p_type": "casino_payout", "credit_cents": 7, "p_id": "P"},
+        {**at_noon, "p_type": "casino_wager", "debit_cents": 0, "credit_cents": 8},
+        {**at_noon, "p_type": "sportsbook_payout", "gaming_state": None, "credit_cents": 9},
+        {**at_noon, "p_type": "deposit", "t_changed_at": at("2023-02-10 12:00"), "credit_cents": 10},
+    )
+    changed = L.cash_adjustment()
+    moved = L.is_any(L.deposit_flows()) | L.is_any(L.withdrawal_flows()) | changed
+    pairs = {"withdrawn": L.WITHDRAWALS, "casino": L.CASINO_WAGERS}
+    kept = activity._read_postings(rows, ReportWindow.month(2023, 1), pairs, moved)
+    ids = ["ledger_transaction_id", "patron_transaction_id", "p_id", "bet_history_id", "p_bet_id"]
+    assert collected(kept, F.col("debit_cents") + F.col("credit_cents"), *ids) == [
+        (3, "L1", None, None, None, "b"),
+        (4, None, None, None, "h", "b"),
+        (5, None, None, None, None, None),
+        (6, "L1", "T1", None, None, None),
+        (7, None, "T1", "P", None, None),
+    ]
+    assert kept.where(changed).count() == 0
