@@ -183,7 +183,9 @@ def game_payouts(
         "game_provider",
         F.col("category").alias("game_category"),
     )
-    rows = info.join(paid, "ref_id").join(clocks, "ref_id").join(players, "patron_id", "left_semi")
+    rows = info.join(paid, "ref_id").join(clocks, "ref_id")
+    # a semi join would be moved below the other joins and send every wager by player, not only what was paid
+    rows = rows.join(players.select("patron_id").distinct(), "patron_id")
     return rows.join(catalogue, "game_id").groupBy(
         "_changed_at", "ref_id", "game_name", "game_provider", "game_category"
     ).agg(F.sum("amount_cents").alias("cents"))

@@ -23,6 +23,19 @@ WALLET_ATTRS = (
     "game_session_id",
     "free_round_award_id",
 )
+#: The attributes that reports read of the model.
+REPORT_ATTRS = ("remote_wallet_transaction_id", "free_round_award_id")
+OTHERS = "_other_attrs"
+
+
+def wallets_with(wallet: DataFrame, attrs: Sequence[str]) -> DataFrame:
+    """The wallets with some of their attributes; the others become one hash, which tells rows apart as they do.
+
+    It is 64 bits wide and matters only between equal versions of one wallet.
+    """
+    others = [a for a in WALLET_ATTRS if a not in attrs]
+    told_apart = F.xxhash64(*others, *[F.isnull(a) for a in others]).alias(OTHERS)
+    return wallet.select(*[c for c in wallet.columns if c not in others], told_apart)
 
 
 def jackpot_model(
@@ -32,13 +45,16 @@ def jackpot_model(
     *,
     carry_change: bool = True,
     carry_patron: bool = False,
+    attrs: Sequence[str] = WALLET_ATTRS,
 ) -> DataFrame:
     """Jackpot part and remaining payout of every wallet transaction linked to a jackpot.
 
     The exact amount is units plus nanos. Only wins count the wallet amount; what is left of it
     is 0 when it differs from the jackpot by less than a cent. Each jackpot of a transaction is
-    set against the wallet amount on its own.
+    set against the wallet amount on its own. With fewer ``attrs`` the wallets are those of ``wallets_with``;
+    the rows are the same ones.
     """
+    attrs = [*attrs, *([OTHERS] if OTHERS in wallet.columns else [])]
     won = F.when(F.col("type") == "win", dollars("amount")).otherwise(F.lit(0)).cast("decimal(20,2)")
     links_in = links.select(
         "wallet_transaction_id",
@@ -52,7 +68,7 @@ def jackpot_model(
     wallet_in = wallet.select(
         F.col("id").alias("wallet_transaction_id"),
         "amount",
-        *WALLET_ATTRS,
+        *attrs,
         *([F.col("identity_user_id").alias("patron_id")] if carry_patron else []),
     )
     names = jackpots.select(F.col("id").alias("jackpot_id"), "display_name")
@@ -62,7 +78,7 @@ def jackpot_model(
         *(["patron_id"] if carry_patron else []),
         "wallet_transaction_id",
         "type",
-        *WALLET_ATTRS,
+        *attrs,
         "jackpot_id",
         "display_name",
         "amount_precision",
@@ -75,7 +91,7 @@ def jackpot_model(
     small = (rest < F.lit(ROUNDING_FLOOR)) & (rest > F.lit(-ROUNDING_FLOOR))
     return grouped.withColumns(
         {"casino_payout_normal": F.when(small, F.lit(0).cast(EXACT)).otherwise(rest), "casino_payout_precise": rest}
-    ).drop("_jackpot")
+    ).drop("_jackpot", OTHERS)
 
 
 def of_type(jackpots: DataFrame, kind: str, *, free: bool | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.money import DOLLARS, EXACT, dollars
+from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_sum
 from tallybook.functions.periods import ReportWindow, bucket, in_window, to_local
 from tallybook.lineage import compute_once
 from tallybook.operators import bets as bet_ops
@@ -384,12 +384,16 @@ def casino_ggr(tables: Catalog, window: ReportWindow, used: DataFrame, *, days:
     def in_local_day(frame: DataFrame) -> DataFrame:
         return frame.withColumn("gaming_day", bucket(to_local("_changed_at", tz), "day"))
 
-    contributed = in_local_day(rounds).join(jackpots.of_type(model, "contribution"), "ref_id")
-    won = in_local_day(paid).join(jackpots.of_type(model, "win", free=False), "ref_id")
-    net = jackpots.net_adjustments(
-        contributed.select("gaming_day", *game, F.col("amount_precision").alias("amount")),
-        won.select("gaming_day", *game, F.col("amount_precision").alias("amount")),
+    def of_wager(kind: str, free: bool | None = None) -> DataFrame:
+        return jackpots.of_type(model, kind, free=free).groupBy("ref_id").agg(exact_sum("amount_precision").alias("jackpot"))
+
+    # a wager's and a payout's jackpots are added while they are together, so neither is worked out twice
+    staked = in_local_day(rounds).join(of_wager("contribution"), "ref_id", "left")
+    won = in_local_day(paid).join(of_wager("win", free=False), "ref_id", "left")
+    played = stack_measures(
+        [(staked, {"wagers": "cents", "jackpot": "jackpot"}), (won, {"winnings": "cents", "jackpot": -F.col("jackpot")})],
         ["gaming_day", *game],
+        {"wagers": "bigint", "winnings": "bigint", "jackpot": EXACT},
     )
 
     def of(frame: DataFrame) -> DataFrame:
@@ -398,10 +402,8 @@ def casino_ggr(tables: Catalog, window: ReportWindow, used: DataFrame, *, days:
     facts = stack_measures(
         [
             (of(promo), {"free_bet_winnings": "amount"}),
-            (of(in_local_day(rounds)), {"wagers": "cents"}),
             (of(undone), {"wagers": -F.col("cents")}),
-            (of(in_local_day(paid)), {"winnings": "cents"}),
-            (of(net), {"jackpot": F.col("amount").cast("decimal(28,2)")}),
+            (of(played), {"wagers": "wagers", "winnings": "winnings", "jackpot": F.col("jackpot").cast("decimal(28,2)")}),
         ],
         ["gaming_day", *game],
         {"wagers": "bigint", "winnings": "bigint", "jackpot": DOLLARS, "free_bet_winnings": EXACT},

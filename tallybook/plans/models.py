@@ -3,6 +3,7 @@ account sheet (R13), bet history (R14)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -19,15 +20,23 @@ WALLET_GRACE = timedelta(minutes=2)
 
 
 def jackpots_from_history(
-    tables: Catalog, cutoff: datetime, *, jackpots: DataFrame | None = None
+    tables: Catalog,
+    cutoff: datetime,
+    *,
+    jackpots: DataFrame | None = None,
+    attrs: Sequence[str] = jp.WALLET_ATTRS,
 ) -> DataFrame:
     """Jackpot model over version history (R08): wallets and links have two minutes of grace.
 
-    Names come from the snapshot given, else from the history up to the cutoff.
+    Names come from the snapshot given, else from the history up to the cutoff. With fewer ``attrs`` the rows are
+    the same ones, and the wallets' history travels without what is left out.
     """
+    wallets = tables.wallet_transactions
+    if tuple(attrs) != jp.WALLET_ATTRS:
+        wallets = jp.wallets_with(wallets, attrs)
     names = jackpots if jackpots is not None else latest_asof(tables.jackpots, ["id"], cutoff=cutoff)
     return jp.jackpot_model(
-        latest_asof(tables.wallet_transactions, ["id"], cutoff=cutoff, grace=WALLET_GRACE),
+        latest_asof(wallets, ["id"], cutoff=cutoff, grace=WALLET_GRACE),
         latest_asof(
             tables.wallet_transaction_jackpots,
             ["wallet_transaction_id", "jackpot_id"],
@@ -35,12 +44,13 @@ def jackpots_from_history(
             grace=WALLET_GRACE,
         ),
         names,
+        attrs=attrs,
     )
 
 
 def stored_jackpots(tables: Catalog, cutoff: datetime) -> DataFrame:
-    """The jackpot model at a cutoff, made once for all reports that are given this catalog."""
-    return tables.once(("jackpots", cutoff), lambda: jackpots_from_history(tables, cutoff))
+    """The jackpot model at a cutoff, with what reports read of it, made once for all that are given this catalog."""
+    return tables.once(("jackpots", cutoff), lambda: jackpots_from_history(tables, cutoff, attrs=jp.REPORT_ATTRS))
 
 
 def jackpots_from_current(tables: Catalog, cutoff: datetime) -> DataFrame:
@@ -70,7 +80,7 @@ def used_free_wagers(
         tables.casino_wagers,
         tables.casino_payouts,
         tables.casino_wager_rollbacks,
-        model if model is not None else jackpots_from_history(tables, window.end_utc),
+        model if model is not None else jackpots_from_history(tables, window.end_utc, attrs=jp.REPORT_ATTRS),
         window,
     )
     settled = promos.settled_free_bets(tables.bets).unionByName(rounds)

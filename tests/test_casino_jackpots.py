@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tallybook.functions.periods import TORONTO, ReportWindow
 from tallybook.operators import casino, jackpots
 from tallybook.operators.markets import bet_and_market_info
+from tallybook.plans import models
+from tallybook.sources.catalog import Catalog
 
 WINDOW = ReportWindow.month(2023, 1)
 NOON = datetime(2023, 1, 10, 12)
@@ -57,6 +59,40 @@ def test_equal_wins_of_one_transaction_count_once(spark):
     assert collected(net) == [("p", Decimal(-3))]
 
 
+def test_model_of_reports_has_the_rows_of_the_whole_model(spark):
+    # equal clocks: all three versions stay, and only what reports don't read tells two of them apart
+    versions = [
+        {"game_provider": "a", "game_session_id": None},
+        {"game_provider": None, "game_session_id": "a"},
+        {"game_provider": None, "game_session_id": "a"},
+    ]
+    wallet = table(
+        spark, "wallet_transactions", [{"id": "w", "amount": 100, "remote_wallet_transaction_id": "t", "_changed_at": NOON, "updated_at": NOON, **v} for v in versions]
+    )
+    link = {"wallet_transaction_id": "w", "jackpot_id": "j1", "type": "win", "amount_units": 1, "amount_nanos": 0, "_changed_at": NOON, "updated_at": NOON}
+    tables = Catalog.of(
+        wallet_transactions=wallet,
+        wallet_transaction_jackpots=table(spark, "wallet_transaction_jackpots", [link]),
+        jackpots=table(spark, "jackpots", [{"id": "j1", "display_name": "one", "_changed_at": NOON, "updated_at": NOON}]),
+    )
+    whole = models.jackpots_from_history(tables, WINDOW.end_utc)
+    stored = models.stored_jackpots(tables, WINDOW.end_utc)
+    assert set(whole.columns) - set(stored.columns) == set(jackpots.WALLET_ATTRS) - set(jackpots.REPORT_ATTRS)
+    assert collected(stored) == collected(whole, *stored.columns) and stored.count() == 2
+
+
+def test_payouts_meet_their_players_after_the_joins_that_cut_them(spark):
+    wagers = info(spark, {"patron_transaction_id": "t", "patron_id": "p", "game_id": "g", "amount_cents": 7})
+    clocks = table(spark, "patron_transactions", [{"id": "t", "patron_id": "p", "_changed_at": NOON}])
+    payouts = table(spark, "casino_payouts", [{"patron_transaction_id": "t", "gaming_state": "CA-ON"}])
+    games = table(spark, "games", [{"id": "g", "name": "n", "game_provider": "v", "category": "c"}])
+    players = table(spark, "users", [{"patron_id": "p"}, {"patron_id": "p"}]).select("patron_id")
+    paid = casino.game_payouts(wagers, clocks, payouts, games, players, WINDOW)
+    assert collected(paid, "ref_id", "cents") == [("t", 7)]
+    plan = paid._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan
+
+
 def info(spark, *rows):
     return table(spark, "wager_and_game_info", list(rows), patron_id="p", amount_cents=50)
 

@@ -111,3 +111,9 @@ def test_plain_results_detail_takes_the_models_it_is_given(spark):
     # what is given is what is used
     none = finance.results_detail_without_jackpots(t, PERIOD, free_rounds=casino.free_rounds_wagered(t.casino_wagers, t.patron_transactions, PERIOD, tz=PERIOD.tz).where("false"))
     assert none.count() < own.count()
+
+
+def test_casino_report_works_out_its_rounds_once(spark):
+    plan = QUERIES["r06_casino_ggr"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # for the free rounds that won and for the cash rounds, which bring their jackpots along
+    assert plan.count("$.game_provider") == 2
