@@ -76,6 +76,11 @@ def _profile(tables: Catalog, tz: str, players: DataFrame) -> DataFrame:
     return profile.select("patron_id", "merchants", "providers", "payment_cards", "kyc_date", "last_login_at")
 
 
+def _ordered(rows: DataFrame) -> DataFrame:
+    """The finished rows, newest and largest first; stored before, as the sort runs what is below it once more for its bounds."""
+    return compute_once(rows).orderBy(F.col("deposit_period").desc(), F.col("deposit_amount").desc())
+
+
 def high_value_deposits(
     tables: Catalog,
     window: ReportWindow,
@@ -164,7 +169,7 @@ def high_value_deposits(
     def share(top: str, bottom: str) -> Column:
         return F.coalesce(ratio(top, bottom), F.lit(0)).cast("decimal(38,6)")
 
-    return wide.select(
+    out = wide.select(
         F.col(PERIOD).alias("deposit_period"),
         F.col("transaction_type").alias("deposit_detection"),
         "patron_id",
@@ -198,7 +203,8 @@ def high_value_deposits(
         "payment_cards",
         "kyc_date",
         "last_login_at",
-    ).orderBy(F.col("deposit_period").desc(), F.col("deposit_amount").desc())
+    )
+    return _ordered(out)
 
 
 DRIVER_ATTRS = ("username", "first_name", "last_name", "employment_status", "job_title", "employer_name")
@@ -286,7 +292,7 @@ def non_earning_occupation(
         else []
     )
     zero = F.lit(0)
-    return wide.select(
+    out = wide.select(
         F.col(PERIOD).alias("deposit_period"),
         "patron_id",
         "username",
@@ -321,4 +327,5 @@ def non_earning_occupation(
         "payment_cards",
         "kyc_date",
         "last_login_at",
-    ).orderBy(F.col("deposit_period").desc(), F.col("deposit_amount").desc())
+    )
+    return _ordered(out)

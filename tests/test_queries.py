@@ -117,3 +117,9 @@ def test_casino_report_works_out_its_rounds_once(spark):
     plan = QUERIES["r06_casino_ggr"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     # for the free rounds that won and for the cash rounds, which bring their jackpots along
     assert plan.count("$.game_provider") == 2
+
+
+@pytest.mark.parametrize("report", ["r10_high_value_deposits", "r11_non_earning_occupation", "r12_non_earning_rolling"])
+def test_sorted_reports_sort_stored_rows(spark, report):
+    plan = QUERIES[report](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" in plan and "Join" not in plan
