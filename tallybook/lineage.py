@@ -3,9 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Whether Spark deletes a query's shuffle files when it ends; else they stay until the driver's garbage collector finds them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: the copy is read from then on, never what it was made from."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, else the warehouse.
@@ -24,5 +40,6 @@ def compute_once(df: DataFrame) -> DataFrame:
     knows the copy's size.
     """
     path = f"{shared_folder(df.sparkSession)}/once-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.scratch import stored
+from tallybook.llm.scratch import drop, stored
 
 
 def _tidy(edges: DataFrame) -> DataFrame:
     return edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, node: str = "node") -> DataFrame:
     """(node, root) of every node of the edges (u, v); nodes with one root are connected.
 
     Each round is a distributed union-find step: every node hangs itself under the smallest node within two
@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     a tree go. A star is done in one round, rounds grow with the logarithm of a component's length. Minima
     are combined before the shuffle and joins meet a table with one row a key, so a node with very many edges
     is split by the adaptive join. Loops and repeated edges do not matter; no edges give no rows; null ends
-    are ignored.
+    are ignored. The result is stored, the rounds' tables are deleted; ``node`` names its first column.
     """
     kind = edges.schema["u"].dataType
     left = stored(_tidy(edges.where("u is not null and v is not null")))
@@ -38,11 +38,17 @@ def components(edges: DataFrame) -> DataFrame:
         steps.append(two)
         moved = left.join(two, "u").select(F.col("p").alias("u"), "v")
         moved = moved.join(two.toDF("v", "q"), "v").select("u", F.col("q").alias("v"))
-        left = stored(_tidy(moved))
+        rest = stored(_tidy(moved))
+        drop(left, one)
+        left = rest
     if not steps:
-        return left.select(F.col("u").cast(kind).alias("node"), F.col("v").cast(kind).alias("root"))
+        roots = stored(left.select(F.col("u").cast(kind).alias(node), F.col("v").cast(kind).alias("root")))
+        drop(left)
+        return roots
     roots = steps[-1].toDF("node", "root")
     for step in reversed(steps[:-1]):
         higher = roots.toDF("p", "r")
         roots = step.toDF("node", "p").join(higher, "p", "left").select("node", F.coalesce("r", "p").alias("root"))
+    roots = stored(roots.toDF(node, "root"))
+    drop(left, *steps)
     return roots

@@ -288,9 +288,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         f"c <> b and least(n - i, m - j) >= {_need('n', 'm')}"
     )
     first = _linked(near.select(F.col("c").alias("a"), "b").distinct(), classes, texts, n)
-    roots = stored(components(first.toDF("u", "v")))
+    roots = components(first.toDF("u", "v"), "c")
 
-    placed = cells.join(roots.toDF("c", "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    placed = cells.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     lists = stored(placed.drop("novel")).withColumn("q", F.explode(F.array("s", F.col("s") + 1)))
     mixed = lists.groupBy("t", "q", "root").agg(F.count(F.lit(1)).alias("rows"))
     mixed = mixed.groupBy("t", "q").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
@@ -312,7 +312,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     pairs = pairs.where(f"shared + least(na - ia - 1, nb - ib - 1) >= {_need('na', 'nb')}").select("a", "b")
     second = _linked(pairs, classes, texts, n)
     edges = second.toDF("u", "v").union(first.toDF("u", "v"))
-    roots = components(edges).toDF("c", "root")
+    roots = components(edges, "c")
 
     members = members.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = members.groupBy("root").agg(F.min("id").alias("component_id"))

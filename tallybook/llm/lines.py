@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tallybook.llm.bits import Bits, bitmap
 from tallybook.llm.graph import components
 from tallybook.llm.jaccard import LOG_PART, LOG_SKETCH, _bucket, _levels
-from tallybook.llm.scratch import bytes_of, row_key, slices, stored
+from tallybook.llm.scratch import bytes_of, drop, row_key, slices, stored
 from tallybook.llm.words import _BYTE, Stretches, mix, words
 
 #: Characters of a shingle, Jaccard similarity of fuzzy lines, and bytes from which a line is compared unless the caller says so.
@@ -309,7 +310,7 @@ def _prefixes(levels, similar: float):
 
 
 def _rest(texts: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) of lines of different roots: all that can be similar. ``texts`` has h, root and line.
+    """Pairs (a, b) of lines of different roots: all that can be similar; stored. ``texts`` has h, root and line.
 
     In a common order of the shingles, the first one that two similar lines share leaves both with enough
     shingles from there on; other places are not joined. What many lines quote stands last in the order, so a
@@ -318,11 +319,12 @@ def _rest(texts: DataFrame, similar: float) -> DataFrame:
     the first that it shares, so their number and what follows the last of them bound what it has in common.
     """
     levels = texts.sparkSession.sparkContext.broadcast(_levels(texts.select("line").mapInArrow(_weights, "c long, n long, bits binary")))
-    cells = stored(texts.mapInArrow(_prefixes(levels, similar), "t long, h long, root long, n long, i long"))
-    mixed = cells.groupBy("t", "root").agg(F.count(F.lit(1)).alias("rows"))
+    sent = stored(texts.mapInArrow(_prefixes(levels, similar), "t long, h long, root long, n long, i long"))
+    mixed = sent.groupBy("t", "root").agg(F.count(F.lit(1)).alias("rows"))
     mixed = mixed.groupBy("t").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
     need = lambda a, b: _need(a, b, similar)
-    cells = stored(cells.join(mixed.select("t", "main"), "t").withColumn("early", F.expr(f"n - i >= {need('n', 'n')}")))
+    cells = stored(sent.join(mixed.select("t", "main"), "t").withColumn("early", F.expr(f"n - i >= {need('n', 'n')}")))
+    drop(sent)
     pairs = []
     for left, right in (("root <> main", "true"), ("root = main", "root <> main")):
         x, y = cells.where("early").where(left).alias("x"), cells.where(right).alias("y")
@@ -330,7 +332,9 @@ def _rest(texts: DataFrame, similar: float) -> DataFrame:
         # of two lines of one length each may be x
         pairs.append(both.where("x.n < y.n or x.h < y.h").selectExpr("x.h as a", "y.h as b", "x.n as na", "y.n as nb", "x.i as ia", "y.i as ib"))
     counted = pairs[0].union(pairs[1]).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common"), F.max("ia").alias("ia"), F.max("ib").alias("ib"))
-    return counted.where(f"common + least(na - ia - 1, nb - ib - 1) >= {need('na', 'nb')}").select("a", "b")
+    found = stored(counted.where(f"common + least(na - ia - 1, nb - ib - 1) >= {need('na', 'nb')}").select("a", "b"))
+    drop(cells)
+    return found
 
 
 def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -339,13 +343,15 @@ def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     Signatures are made once and stored. Bands are counted first; only lines of bands that hold two different
     lines are sent again. In each band all lines are compared with one of them, the hub, which is then done
     with; long bands get a few hubs, one after the other. Bands whose lines are not all together then give
-    their lines to an exact join, so every similar pair that shares a band ends under one root.
+    their lines to an exact join, so every similar pair that shares a band ends under one root. Tables go as soon as
+    the next ones are made; the result is stored.
     """
     signed = stored(texts.mapInArrow(_signed, "h long, bands array<long>"))
     once = signed.select("h", F.explode("bands").alias("b")).groupBy("b").agg(F.min("h").alias("low"), F.max("h").alias("high"))
     once = stored(once.where("low <> high").select("b"))
     rows = signed.mapInArrow(_bands(bitmap(once, "b")), "b long, h long").join(once, "b")
     rows = stored(rows.distinct())
+    drop(signed, once)
     lines = texts.mapInArrow(_texts(bitmap(rows, "h")), "h long, line string, n long, bits binary")
     lines = stored(lines.groupBy("h").agg(*[F.first(c).alias(c) for c in ("line", "n", "bits")]))
 
@@ -355,30 +361,43 @@ def similar_lines(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
         sized = pairs.join(sides[0], "a").join(sides[1], "b").where(f"{_need('na', 'nb', similar)} <= least(na, nb)")
         close = stored(sized.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_close(similar), "a long, b long"))
         full = close.join(lines.selectExpr("h as a", "line as la"), "a").join(lines.selectExpr("h as b", "line as lb"), "b")
-        return stored(full.select("a", "b", "la", "lb").mapInArrow(_alike(similar), "a long, b long"))
+        found = stored(full.select("a", "b", "la", "lb").mapInArrow(_alike(similar), "a long, b long"))
+        drop(close)
+        return found
+
+    def rooted() -> DataFrame:
+        return components(reduce(DataFrame.union, links).toDF("u", "v"), "h")
 
     placed = rows.withColumn("root", F.col("h"))
-    edges: DataFrame | None = None
+    links: list[DataFrame] = []
+    roots: DataFrame | None = None
     for k in range(HUBS):
         hub = placed.groupBy("b").agg(F.min(F.struct(F.xxhash64("h", F.lit(k)).alias("o"), "h", "root")).alias("m"))
         hub = hub.select("b", F.col("m.h").alias("to"), F.col("m.root").alias("toroot"))
         pairs = placed.join(hub, "b").where("root <> toroot")
-        found = alike(pairs.select(F.least("h", "to").alias("a"), F.greatest("h", "to").alias("b")).distinct())
-        edges = found if edges is None else edges.union(found)
-        roots = stored(components(edges.toDF("u", "v")))
+        links.append(alike(pairs.select(F.least("h", "to").alias("a"), F.greatest("h", "to").alias("b")).distinct()))
+        if roots is not None:
+            drop(roots)
+        roots = rooted()
         # a hub has met all lines of its band; what is left is mixed while two of its lines have different roots
-        left = rows.select("b", "h").join(hub.selectExpr("b", "to as h"), ["b", "h"], "left_anti").join(roots.toDF("h", "root"), "h", "left")
+        left = rows.select("b", "h").join(hub.selectExpr("b", "to as h"), ["b", "h"], "left_anti").join(roots, "h", "left")
         left = left.withColumn("root", F.coalesce("root", "h"))
         mixed = left.groupBy("b").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("lines"))
-        rows = stored(left.join(mixed.where("low <> high").select("b", "lines"), "b").select("b", "h", "root", "lines"))
+        further = stored(left.join(mixed.where("low <> high").select("b", "lines"), "b").select("b", "h", "root", "lines"))
+        drop(rows)
+        rows = further
         placed = rows.where(F.col("lines") >= LONG)
         if placed.isEmpty():
             break
     rest = stored(rows.select("h", "root").distinct())
-    if rest.isEmpty():
-        return roots.toDF("h", "root")
-    edges = edges.union(alike(_rest(lines.join(rest, "h").select("h", "root", "line"), similar)))
-    return stored(components(edges.toDF("u", "v"))).toDF("h", "root")
+    drop(rows)
+    if not rest.isEmpty():
+        pairs = _rest(lines.join(rest, "h").select("h", "root", "line"), similar)
+        links.append(alike(pairs))
+        drop(roots, pairs)
+        roots = rooted()
+    drop(lines, rest, *links)
+    return roots
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, keep: str | None = None, least: int = LEAST) -> DataFrame:
@@ -399,11 +418,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"), F.col("at"))
     lines = places.groupBy("h").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
     lines = lines.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    lines = stored(lines.select("h", "root", "first", "n"))
-    groups = lines.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    lines = stored(lines.join(groups.select("root", F.col("first").alias("kept")), "root").select("h", "kept.key", "kept.at").toDF("h", "kept_key", "kept_at"))
+    firsts = stored(lines.select("h", "root", "first", "n"))
+    drop(roots)
+    groups = firsts.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
+    lines = stored(firsts.join(groups.select("root", F.col("first").alias("kept")), "root").select("h", "kept.key", "kept.at").toDF("h", "kept_key", "kept_at"))
     gone = places.join(lines, "h").where("not (key = kept_key and at = kept_at)")
-    gone = gone.groupBy("key").agg(F.collect_set("at").alias("drop"))
+    gone = stored(gone.groupBy("key").agg(F.collect_set("at").alias("drop")))
+    drop(firsts, places, lines)
     whole = docs.select(F.struct(F.col(id_col), *([F.col(keep)] if keep else [])).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     joined = whole.join(gone, "key", "left").select("id", "text", "drop", F.col("text").isNotNull().alias("there"))
     kind = joined.schema["id"].dataType.simpleString()

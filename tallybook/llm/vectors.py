@@ -189,7 +189,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = tasks.groupBy("shard", "task").applyInPandas(_found(link), "c long, links long, u long, v long")
     found = stored(found)
     links = found.where("c is not null").groupBy("c").agg(F.sum("links").alias("links"))
-    roots = components(found.where("u is not null").select("u", "v")).toDF("c", "root")
+    roots = components(found.where("u is not null").select("u", "v"), "c")
     per_node = links.join(nodes.select("c", "m"), "c").join(roots, "c", "left")
     per_node = per_node.select("c", (F.col("links") + F.col("m") - 1).alias("n"), F.coalesce("root", "c").alias("root"))
     linked = rows.where("c is not null").join(per_node, "c")

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.lineage import shared_folder
+from tallybook.lineage import freed_shuffles, shared_folder
 from tallybook.sources.catalog import Catalog
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -456,7 +456,8 @@ def _store(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> Dat
         if folder is None:
             return frame
         place = f"{folder}/tables-{application}/{re.sub(r'[^A-Za-z0-9.]', '_', sf_dir)}/{name}"
-        frame.write.mode("overwrite").option("compression", "zstd").parquet(place)
+        with freed_shuffles(spark):
+            frame.write.mode("overwrite").option("compression", "zstd").parquet(place)
         _stored[key] = place
     return spark.read.parquet(_stored[key])
 
