@@ -5,12 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Whether Spark deletes a query's shuffle files when it ends; else they stay until the driver's garbage collector finds them.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: The folders of frames that were stored.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 @contextmanager
 def freed_shuffles(spark: SparkSession) -> Iterator[None]:
@@ -42,4 +46,17 @@ def compute_once(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/once-{uuid.uuid4().hex}"
     with freed_shuffles(df.sparkSession):
         df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return kept_in(path, df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def kept_in(path: str, frame: DataFrame) -> DataFrame:
+    """The frame, for ``drop`` to know the folder it reads."""
+    _folders[frame] = path
+    return frame
+
+
+def drop(*frames: DataFrame) -> None:
+    """Deletes the copies of frames as they were stored; no frame that is still to be computed may read them."""
+    for frame in frames:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(_folders.pop(frame))
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

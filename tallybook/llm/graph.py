@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.scratch import drop, stored
+from tallybook.lineage import drop
+from tallybook.llm.scratch import stored
 
 
 def _tidy(edges: DataFrame) -> DataFrame:

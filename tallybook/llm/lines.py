@@ -12,10 +12,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.lineage import drop
 from tallybook.llm.bits import Bits, bitmap
 from tallybook.llm.graph import components
 from tallybook.llm.jaccard import LOG_PART, LOG_SKETCH, _bucket, _levels
-from tallybook.llm.scratch import bytes_of, drop, row_key, slices, stored
+from tallybook.llm.scratch import bytes_of, row_key, slices, stored
 from tallybook.llm.words import _BYTE, Stretches, mix, words
 
 #: Characters of a shingle, Jaccard similarity of fuzzy lines, and bytes from which a line is compared unless the caller says so.

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.lineage import freed_shuffles
+from tallybook.lineage import freed_shuffles, kept_in
 
-#: The folders of the frames that ``stored`` has returned.
-_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: Bytes of text that a task turns into arrays at once; a longer document is a slice of its own.
 SLICE_BYTES = (1 << 20) - 1
 
@@ -34,16 +31,7 @@ def stored(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, folder(df.sparkSession)
     with freed_shuffles(spark):
         df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _folders[out] = path
-    return out
-
-
-def drop(*frames: DataFrame) -> None:
-    """Deletes the tables of frames that ``stored`` returned; no frame that is still to be computed may read them."""
-    for frame in frames:
-        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(_folders.pop(frame))
-        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    return kept_in(path, spark.read.schema(df.schema).parquet(path))
 
 
 def row_key(*columns) -> "F.Column":

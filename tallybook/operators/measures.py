@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.lineage import compute_once
+
 
 def stack_measures(
     sources: Sequence[tuple[DataFrame, Mapping[str, Column | str]]],
@@ -21,6 +23,20 @@ def stack_measures(
     return total_measures(union_measures(sources, grain, measures), grain, measures)
 
 
+def stack_in_parts(
+    parts: Sequence[Sequence[tuple[DataFrame, Mapping[str, Column | str]]]],
+    grain: Sequence[str],
+    measures: Mapping[str, str],
+) -> DataFrame:
+    """The stack of all sources of all parts; each part is summed and stored on its own.
+
+    What the shuffles of a part hold is gone before the next part starts, and its sums are smaller. The sources
+    are not read again.
+    """
+    sums = [compute_once(stack_measures(sources, grain, measures)) for sources in parts]
+    return total_measures(reduce(DataFrame.unionByName, sums), grain, measures)
+
+
 def union_measures(
     sources: Sequence[tuple[DataFrame, Mapping[str, Column | str]]],
     grain: Sequence[str],

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_sum
 from tallybook.functions.periods import ReportWindow, bucket, in_window, to_local
-from tallybook.lineage import compute_once
+from tallybook.lineage import compute_once, drop
 from tallybook.operators import bets as bet_ops
 from tallybook.operators import casino, jackpots, regulator, revenue
+from tallybook.operators.cuts import flow_postings
 from tallybook.operators.free_bets import FreeBetIndex
 from tallybook.operators.ledger import (
     CASINO_ROLLBACKS_BY_ID,
+    CASINO_WAGERS,
+    CUSTOMER_LIABILITY,
     ONTARIO,
     SPORTS_BETS,
     SPORTS_BETS_BY_TX_TYPE,
     SPORTS_PAYOUT_TYPES,
+    LegPair,
     as_moves,
     bet_id,
     exclude,
@@ -29,8 +35,9 @@ from tallybook.operators.ledger import (
     real_players,
 )
 from tallybook.operators.markets import bet_and_market_info
-from tallybook.operators.measures import stack_measures
+from tallybook.operators.measures import stack_in_parts, stack_measures
 from tallybook.operators.settlement import (
+    RESETTLEMENT_TYPES,
     first_settlement,
     resettlement,
     union_transfers,
@@ -77,9 +84,37 @@ def _free_in(rows: DataFrame, ledger: DataFrame, index: FreeBetIndex | None) ->
     return index.among(rows.where(F.col("p_type").isin(*SPORTS_BETS.types)).select(bet_id().alias("_bet")), "_bet", ledger=ledger)
 
 
-def stored_window(ledger: DataFrame, window: ReportWindow, state: str | None = None) -> DataFrame:
-    """The window's postings, read from the ledger once and stored; every flow of a report branches from there."""
-    return compute_once(in_state(in_window(ledger, "t_changed_at", window), state))
+#: Columns that the flows choose and add up postings by.
+_POSTING = ("a_patron_id", "a_type", "p_type", "t_type", "gaming_state", "debit_cents", "credit_cents", "t_changed_at")
+
+
+def stored_window(
+    ledger: DataFrame, window: ReportWindow, bets: LegPair, casino_pairs: Sequence[LegPair], state: str | None = None,
+    also: Sequence[str] = (), of_payouts: Sequence[str] = (),
+) -> DataFrame:
+    """What the flows read of the window's postings, read from the ledger once and stored; every flow branches from there.
+
+    The flows are the matched legs of ``bets`` and of the ``casino_pairs``, what sports bets and casino rounds pay,
+    and resettlements. ``also`` are further columns, ``of_payouts`` ids read of casino payouts.
+    """
+
+    def legs(*pairs: LegPair) -> Column:
+        sides = [(pair, side) for pair in pairs for side in ("debit", "credit")]
+        return reduce(Column.__or__, [pair.is_leg(side) & (F.col(f"{side}_cents") > 0) for pair, side in sides])
+
+    resettled = F.col("p_type").isin(*RESETTLEMENT_TYPES)
+    paid = (F.col("p_type") == "casino_payout") & (F.col("a_type") == CUSTOMER_LIABILITY)
+    of_bet = on_customer(*SPORTS_PAYOUT_TYPES) | resettled | legs(bets)
+    ids = {
+        "ledger_transaction_id": legs(bets, *casino_pairs),
+        "patron_transaction_id": paid,
+        "p_id": paid | legs(*casino_pairs),
+        **{c: paid for c in of_payouts},
+        "bet_history_id": resettled,
+        "p_bet_id": of_bet,
+        "p_vegas_bet_id": of_bet,
+    }
+    return flow_postings(in_state(in_window(ledger, "t_changed_at", window), state), ids, F.lit(False), [*_POSTING, *also])
 
 
 def results_detail_with_jackpots(
@@ -90,11 +125,11 @@ def results_detail_with_jackpots(
     With ``free_index`` the ids of free bets come from it and from the ledger since; otherwise from all history.
     """
     tz = window.tz
-    ledger = stored_window(tables.accounting, window)
+    ledger = stored_window(tables.accounting, window, SPORTS_BETS, [CASINO_WAGERS], of_payouts=["parent_id"])
     model = stored_jackpots(tables, window.end_utc)
 
     free = _free_in(ledger, tables.accounting, free_index)
-    sports = revenue.sports_stack(
+    sports = compute_once(revenue.sports_stack(
         union_transfers(
             cash_bets(ledger, free, tz, summed=False),
             bet_ops.free_bets_wagered(tables.bets, window, tz=tz, summed=False),
@@ -105,10 +140,11 @@ def results_detail_with_jackpots(
             sports_payouts(ledger, tz, summed=False),
             first_settlement(ledger, tables.bet_states, window, tz=tz, state=ONTARIO, summed=False),
         ),
-    )
+    ))
 
-    wagers = casino.transfer_to_casino(
-        ledger, tables.wager_and_game_info, window, tz=tz, extra=["gaming_state"], game=()
+    # read twice: as they are, and for their jackpots
+    wagers = compute_once(
+        casino.transfer_to_casino(ledger, tables.wager_and_game_info, window, tz=tz, extra=["gaming_state"], game=())
     )
     free_rounds = casino.free_rounds_wagered(tables.casino_wagers, tables.patron_transactions, window, tz=tz)
     undone = casino.casino_rollbacks(
@@ -118,28 +154,27 @@ def results_detail_with_jackpots(
         tz=tz,
         patron_transactions=tables.patron_transactions,
     )
-    paid = casino.casino_payouts(
-        ledger,
-        tables.casino_payouts,
-        window,
-        tz=tz,
-        cash_only=False,
-        extra=["gaming_state", "parent_id"],
+    paid = compute_once(
+        casino.casino_payouts(
+            ledger, tables.casino_payouts, window, tz=tz, cash_only=False, extra=["gaming_state", "parent_id"]
+        )
     )
+    drop(ledger)
     contributions = jackpots.jackpot_contributions(
         wagers, model, ["ref_id", "ts", "patron_id", "gaming_state", "jackpot_award_id"]
     )
     wins = jackpots.jackpot_payouts(
         paid, model, ["gaming_state", "ts", "patron_id", "ref_id", "award_id"], free=None
     )
-    spins = revenue.casino_stack(
+    spins = compute_once(revenue.casino_stack(
         _stated(wagers),
         _stated(free_rounds),
         _stated(undone),
         _stated(paid, state=None, wager="parent_id"),
         _stated(contributions, state=None),
         _stated(wins, state=None),
-    )
+    ))
+    drop(wagers, paid)
     return revenue.results_detail(
         sports,
         bet_and_market_info(tables.bets, tables.legs),
@@ -171,7 +206,7 @@ def results_detail_without_jackpots(
     by the same operators, the ids of free bets with ``free_index`` where that is given. Cash rollbacks take the rollback's own time.
     """
     tz = window.tz
-    ledger = stored_window(tables.accounting, window)
+    ledger = stored_window(tables.accounting, window, SPORTS_BETS, [CASINO_WAGERS], of_payouts=["parent_id"])
     free = free_bets if free_bets is not None else _free_in(ledger, tables.accounting, free_index)
     if free_bets_wagered is None:
         free_bets_wagered = bet_ops.free_bets_wagered(tables.bets, window, tz=tz, summed=False)
@@ -188,7 +223,7 @@ def results_detail_without_jackpots(
             promo=True,
             **rollback,
         )
-    sports = revenue.sports_stack(
+    sports = compute_once(revenue.sports_stack(
         union_transfers(cash_bets(ledger, free, tz, summed=False), free_bets_wagered),
         bet_ops.voided(tables.bets, window, tz=tz, summed=False),
         resettled,
@@ -198,7 +233,7 @@ def results_detail_without_jackpots(
                 ledger, tables.bet_states, window, tz=tz, state=ONTARIO, later_states=later_states, summed=False
             ),
         ),
-    )
+    ))
     undone = casino.casino_rollbacks(
         tables.casino_wager_rollbacks, tables.wager_and_game_info, promo=False, **rollback
     ).unionByName(free_rounds_rolled_back)
@@ -211,9 +246,10 @@ def results_detail_without_jackpots(
         extra=["gaming_state", "parent_id"],
     )
     wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, window, tz=tz, game=())
-    spins = revenue.casino_stack(
+    spins = compute_once(revenue.casino_stack(
         _stated(wagers), _stated(free_rounds), _stated(undone), _stated(paid, state=None, wager="parent_id")
-    )
+    ))
+    drop(ledger)
     return revenue.results_detail(
         sports,
         bet_and_market_info(tables.bets, tables.legs),
@@ -246,7 +282,9 @@ def ggr_by_product(
     tz = window.tz
     filed = ReportWindow(window.start, window.start + timedelta(days=days), tz)
     players = real_players(tables.users)
-    ledger = stored_window(tables.accounting, filed, ONTARIO)
+    ledger = stored_window(
+        tables.accounting, filed, SPORTS_BETS_BY_TX_TYPE, [CASINO_WAGERS, CASINO_ROLLBACKS_BY_ID], ONTARIO, also=["p_patron_id"]
+    )
     by_account = _of_players(ledger, players, "a_patron_id")
     by_player = _of_players(ledger, players, "p_patron_id")
 
@@ -272,8 +310,9 @@ def ggr_by_product(
 
     in_report = ReportWindow(window.start, min(window.end, filed.end), tz)
     wagers = casino.transfer_to_casino(ledger, tables.wager_and_game_info, in_report, tz=tz, game=())
-    wagers = _of_players(wagers, players, "patron_id")
-    payouts = casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz)
+    # read twice: as they are, and for their jackpots
+    wagers = compute_once(_of_players(wagers, players, "patron_id"))
+    payouts = compute_once(casino.casino_payouts(by_player, tables.casino_payouts, in_report, tz=tz))
     undone = matched(
         by_player, CASINO_ROLLBACKS_BY_ID, [to_local("posted_at", tz).alias("ts")], credits=any_day, summed=False
     )
@@ -292,20 +331,25 @@ def ggr_by_product(
         frame = frame if "gaming_day" in frame.columns else frame.withColumn("gaming_day", bucket("ts", "day"))
         return frame.withColumn("product_code", F.lit(product))
 
-    facts = stack_measures(
+    facts = stack_in_parts(
         [
-            (of(resettled, "Betting"), {"winnings": -F.col("cents")}),
-            (of(voids, "Betting"), {"wagers": -F.col("cents")}),
-            (of(placed, "Betting"), {"wagers": "cents"}),
-            (of(paid, "Betting"), {"winnings": "cents"}),
-            (of(payouts, "Casino"), {"winnings": "cents"}),
-            (of(wagers, "Casino"), {"wagers": "cents"}),
-            (of(net, "Casino"), {"jackpot": F.col("amount").cast("decimal(28,2)")}),
-            (of(undone, "Casino"), {"wagers": -F.col("cents")}),
+            [
+                (of(resettled, "Betting"), {"winnings": -F.col("cents")}),
+                (of(voids, "Betting"), {"wagers": -F.col("cents")}),
+            ],
+            [(of(placed, "Betting"), {"wagers": "cents"})],
+            [(of(paid, "Betting"), {"winnings": "cents"})],
+            [
+                (of(payouts, "Casino"), {"winnings": "cents"}),
+                (of(wagers, "Casino"), {"wagers": "cents"}),
+                (of(net, "Casino"), {"jackpot": F.col("amount").cast("decimal(28,2)")}),
+            ],
+            [(of(undone, "Casino"), {"wagers": -F.col("cents")})],
         ],
         ["gaming_day", "product_code"],
         {"wagers": "bigint", "winnings": "bigint", "jackpot": DOLLARS},
     )
+    drop(ledger, free, wagers, payouts)
     spark = tables.accounting.sparkSession
     skeleton = regulator.report_ids(
         regulator.period_skeleton(spark, ["Betting", "Casino"], window.start, days=days)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tallybook.lineage import CLEANUP, compute_once
+from tallybook.lineage import CLEANUP, compute_once, drop
 from tallybook.llm import graph, lines, scratch
 
 
@@ -58,5 +58,5 @@ def test_the_tables_of_the_rounds_of_components_are_deleted(spark, tmp_path, mon
     assert len(os.listdir(tmp_path)) == 1
     found = dict(map(tuple, roots.select("c", "root").collect()))
     assert len({found[k] for k in range(1, 41)}) == 1 and found[98] == found[99] != found[1]
-    scratch.drop(roots)
+    drop(roots)
     assert os.listdir(tmp_path) == []
