@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.labels import age_years, gender_code, postal_prefix
 from tallybook.functions.money import DOLLARS, EXACT, dollars, exact_dollars
 from tallybook.functions.periods import ReportWindow, bucket, in_window, moment, to_local
-from tallybook.lineage import compute_once
+from tallybook.lineage import compute_once, drop
 from tallybook.operators import balances, carry, casino, jackpots, sessions
 from tallybook.operators import bets as bet_ops
 from tallybook.operators.cuts import flow_postings
@@ -38,7 +38,7 @@ from tallybook.operators.ledger import (
     real_players,
     withdrawal_flows,
 )
-from tallybook.operators.measures import flow_is, stack_measures, union_measures
+from tallybook.operators.measures import flow_is, stack_in_parts, union_measures
 from tallybook.operators.profiles import status_flags
 from tallybook.operators.regulator import SITE_ID
 from tallybook.operators.revenue import GAME_KEYS, GAME_MEASURES, game_activity
@@ -238,9 +238,19 @@ def player_measures(
         return frame.withColumn("gaming_day", bucket(moment(window.start), "day"))
 
     cents = F.col("cents")
-    return stack_measures(
+    # flows that share a shuffle are in one part
+    parts = [
         [
             (at_start(opening), {"start_balance": cents}),
+            (at_start(closing), {"end_balance": cents}),
+        ],
+        [
+            (at_start(bonus_open), {"promo_start_balance": cents}),
+            (at_start(bonus_moves), {"promo_adjustments": cents}),
+            (at_start(bonus_close), {"promo_end_balance": cents}),
+            (dated(released), {"adjustments": cents}),
+        ],
+        [
             (
                 dated(moved),
                 {
@@ -253,13 +263,15 @@ def player_measures(
                 dated(matched.where(flow_is("withdrawn", "cancelled"))),
                 {"withdrawals": F.when(flow_is("withdrawn"), cents).otherwise(-cents)},
             ),
-            (dated(released), {"adjustments": cents}),
+            (dated(casino_wagers), sessions.signed_wagers("ref_id", 1, category)),
+            (dated(won), {"player_win": cents}),
+        ],
+        [
             (
                 dated(f.sports_net),
                 {"player_win": F.when(cash, cents), "withdrawable_win": F.when(promo, cents)},
             ),
             (dated(f.settled), {"player_win": cents}),
-            (dated(won), {"player_win": cents}),
             (
                 dated(f.resettled),
                 {"player_win": F.when(cash, -cents), "withdrawable_win": F.when(promo, -cents)},
@@ -268,21 +280,19 @@ def player_measures(
                 dated(f.pending),
                 {"unsettled_wagers": F.when(cash, cents), "promo_unsettled_wagers": F.when(promo, cents)},
             ),
-            (dated(f.free_round_payouts), {"withdrawable_win": cents}),
-            (
-                dated(free_jackpots),
-                {"player_win_jackpot": F.col("amount"), "withdrawable_jackpot": -F.col("amount")},
-            ),
-            (at_start(closing), {"end_balance": cents}),
-            (at_start(bonus_open), {"promo_start_balance": cents}),
-            (at_start(bonus_moves), {"promo_adjustments": cents}),
             (dated(f.cash_bets), sessions.signed_wagers("bet_id", 1)),
             (dated(f.free_bets), {"promo_player_wagers": cents, **sessions.signed_wagers("bet_id", 1)}),
             (
                 dated(f.voided),
                 {"promo_player_wagers": F.when(promo, -cents), **sessions.signed_wagers("bet_id", -1)},
             ),
-            (dated(casino_wagers), sessions.signed_wagers("ref_id", 1, category)),
+        ],
+        [
+            (dated(f.free_round_payouts), {"withdrawable_win": cents}),
+            (
+                dated(free_jackpots),
+                {"player_win_jackpot": F.col("amount"), "withdrawable_jackpot": -F.col("amount")},
+            ),
             (
                 dated(f.free_rounds),
                 {"promo_player_wagers": cents, **sessions.signed_wagers("ref_id", 1, category)},
@@ -294,15 +304,15 @@ def player_measures(
                     **sessions.signed_wagers("ref_id", -1, category),
                 },
             ),
-            (at_start(bonus_close), {"promo_end_balance": cents}),
             (
                 at_start(played),
                 {"num_game_sessions": "num_game_sessions", "total_gameplay_duration": "total_gameplay_duration"},
             ),
         ],
-        ["gaming_day", "patron_id"],
-        PLAYER_MEASURES,
-    )
+    ]
+    stack = stack_in_parts(parts, ["gaming_day", "patron_id"], PLAYER_MEASURES)
+    drop(ledger, released)
+    return stack
 
 
 def player_moves(tables: Catalog) -> DataFrame:
