@@ -3,11 +3,18 @@
 import os
 import time
 import uuid
+from datetime import datetime
 
+from conftest import table
 from pyspark.sql import functions as F
 
+from tallybook import lineage
+from tallybook.functions.periods import ReportWindow
 from tallybook.lineage import CLEANUP, compute_once, drop
 from tallybook.llm import graph, lines, scratch
+from tallybook.plans import finance
+from tallybook.sources.catalog import Catalog
+from tallybook.sources.schemas import SCHEMAS
 
 
 def _shuffle_files(spark) -> set[str]:
@@ -60,3 +67,13 @@ def test_the_tables_of_the_rounds_of_components_are_deleted(spark, tmp_path, mon
     assert len({found[k] for k in range(1, 41)}) == 1 and found[98] == found[99] != found[1]
     drop(roots)
     assert os.listdir(tmp_path) == []
+
+
+def test_reports_delete_their_copy_of_the_window(spark, tmp_path, monkeypatch):
+    ledger = table(spark, "accounting", [{"t_changed_at": datetime(1997, 3, k), "p_bet_id": str(k), "debit_cents": k} for k in range(2, 9)])
+    monkeypatch.setattr(lineage, "shared_folder", lambda spark: str(tmp_path))
+    names = {"bets", "bet_states", "legs", "users", "casino_payouts", "casino_wagers", "casino_wager_rollbacks", "patron_transactions", "wager_and_game_info"}
+    t = Catalog.of(accounting=ledger, **{n: spark.createDataFrame([], SCHEMAS[n]) for n in names})
+    finance.results_detail_without_jackpots(t, ReportWindow.month(1997, 3))
+    left = [set(spark.read.parquet(f"{tmp_path}/{name}").columns) for name in os.listdir(tmp_path)]
+    assert left and not any("debit_cents" in columns for columns in left)
